@@ -21,6 +21,8 @@ _SALT = "_salt"
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    if not order:
+        return df.dropDuplicates(list(keys))
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
