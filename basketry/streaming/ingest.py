@@ -26,7 +26,8 @@ def write_split(
     tagged = tagged.persist()
     try:
         tables.write_batch(Q.accepted(tagged), good_path, batch_id, partition_by)
-        tables.write_batch(quarantine(tagged), bad_path, batch_id)
+        # Few rows per task are left here, hence the rebalancing.
+        tables.write_batch(tables.balanced(quarantine(tagged)), bad_path, batch_id)
     finally:
         tagged.unpersist()
 

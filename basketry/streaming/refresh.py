@@ -19,7 +19,7 @@ from basketry.plans import gold, kpi, rules as R, silver
 from basketry.sources import tables
 from basketry.streaming import cleansing, ingest
 from basketry.streaming.history import History
-from basketry.streaming.runs import append, drain
+from basketry.streaming.runs import append, finish, start_append, start_batches
 
 
 @dataclass(frozen=True)
@@ -89,13 +89,16 @@ class Lakehouse:
     def run_silver(self, spark: SparkSession) -> None:
         bronze = self.bronze_changes(spark)
         orders = cleansing.orders(bronze, self.order_mode, self.horizon)
-        for name, stream in {
+        streams = {
             C.SILVER_CUSTOMERS: cleansing.customers(bronze),
             C.SILVER_PRODUCTS: cleansing.products(bronze),
             C.SILVER_ORDERS: orders,
             C.SILVER_QUARANTINE: silver.quarantine(bronze),
-        }.items():
-            append(stream, self.checkpoint(name), self.path(name), C.PARTITIONS.get(name, ()))
+        }
+        finish(
+            start_append(stream, self.checkpoint(name), self.path(name), C.PARTITIONS.get(name, ()))
+            for name, stream in streams.items()
+        )
 
     def run_dimensions(self, spark: SparkSession) -> None:
         if self.first_seen_dimensions:
@@ -109,8 +112,10 @@ class Lakehouse:
                 C.DIM_CUSTOMER: gold.customer_feed(bronze),
                 C.DIM_PRODUCT: gold.product_feed(bronze),
             }
-        for name, feed in feeds.items():
-            drain(feed, self.checkpoint(name), self.history(spark, name).upsert)
+        finish(
+            start_batches(feed, self.checkpoint(name), self.history(spark, name).upsert)
+            for name, feed in feeds.items()
+        )
         tables.refresh(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
 
     def _silver_changes(self, spark: SparkSession, table: str) -> DataFrame:

@@ -1,18 +1,26 @@
+"""Triggered queries: process everything new since the last run, then stop.
+
+Stateless streams and the frames handed to ``foreachBatch`` are planned adaptively, so run-time
+broadcasts, skew-join splitting and rebalancing apply to them; stateful streams keep the number of
+shuffle partitions they were started with.
+"""
+
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def drain(
+def start_batches(
     stream: DataFrame,
     checkpoint: str,
     each_batch: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
-    """Process everything new since the last run in ``each_batch``, then stop."""
-    return _finished(
+    """Hand the new rows to ``each_batch``. A batch may be handed over again after a failure, with
+    the same id and rows, so ``each_batch`` must replace what it wrote for that id."""
+    return (
         stream.writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -20,11 +28,11 @@ def drain(
     )
 
 
-def append(
+def start_append(
     stream: DataFrame, checkpoint: str, path: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Append everything new since the last run to a Parquet table, exactly once, then stop."""
-    return _finished(
+    """Append the new rows to a Parquet table, exactly once."""
+    return (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*partition_by)
@@ -34,9 +42,24 @@ def append(
     )
 
 
-def _finished(query: StreamingQuery) -> StreamingQuery:
-    query.awaitTermination()
-    return query
+def finish(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
+    """Wait for queries that run side by side; the first failure is raised."""
+    queries = list(queries)
+    for query in queries:
+        query.awaitTermination()
+    return queries
+
+
+def drain(
+    stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
+    return finish([start_batches(stream, checkpoint, each_batch)])[0]
+
+
+def append(
+    stream: DataFrame, checkpoint: str, path: str, partition_by: Sequence[str] = ()
+) -> StreamingQuery:
+    return finish([start_append(stream, checkpoint, path, partition_by)])[0]
 
 
 def rows_read(query: StreamingQuery) -> int:

@@ -1,0 +1,180 @@
+"""Streams: triggered runs over all layers, deduplication modes, late rows, incremental history."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from test_csv import SAMPLE, write
+
+from basketry import contracts as C
+from basketry.operators import dedup, scd2
+from basketry.plans import kpi
+from basketry.sources import tables
+from basketry.streaming import runs
+from basketry.streaming.history import History
+from basketry.streaming.refresh import Lakehouse
+
+T0 = datetime(2026, 1, 1)
+
+
+def _at(day):
+    return F.lit(str(T0 + timedelta(days=day))).cast("timestamp")
+
+
+def _order(number, **other):
+    return {**SAMPLE, "Order ID": f"O-{number}", **other}
+
+
+def test_triggered_runs_end_to_end(spark, folder):
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables")
+    write(house.landing, "1.csv", [
+        _order(1), _order(1, Sales="99"), _order(2, Quantity="11"), _order(3, Discount="0.9"),
+        _order(4, **{"Order Date": "soon"}), _order(5, **{"Product ID": "P-2", "Sales": "20"})])
+    house.run(spark, _at(0))
+    counts = {t: house.read(spark, t).count() for t in C.QUALITY_TAG}
+    assert counts == {
+        C.BRONZE_SALES: 5, C.BRONZE_QUARANTINE: 1, C.SILVER_CUSTOMERS: 1, C.SILVER_PRODUCTS: 2,
+        C.SILVER_ORDERS: 2, C.SILVER_QUARANTINE: 2, C.DIM_CUSTOMER: 1, C.DIM_PRODUCT: 2,
+        C.DIM_DATE: 4018, C.FACT_SALES: 2, C.KPI_REGION_CATEGORY: 1, C.KPI_SEGMENT: 1,
+        C.KPI_PRODUCT: 2, C.KPI_MONTHLY: 1, C.KPI_OUTLET_CITY: 1}
+    fact = {r.order_id: r for r in house.read(spark, C.FACT_SALES).collect()}
+    assert fact["O-1"].order_year == "2020" and fact["O-1"].date_key == "20200101"
+    assert fact["O-1"].segment == "CONSUMER" and fact["O-1"].full_name == "Ann Lee"
+    assert fact["O-1"].shipping_days == 2
+
+    # The customer moves; an order already seen comes again.
+    write(house.landing, "2.csv", [_order(1), _order(6, Region="West"), _order(7, Region="West")])
+    house.run(spark, _at(1))
+    versions = house.read(spark, C.DIM_CUSTOMER).orderBy(C.START_AT).collect()
+    assert [(r.region, r[C.END_AT] is None) for r in versions][-1] == ("West", True)
+    assert house.read(spark, C.BRONZE_SALES).count() == 8
+    assert house.read(spark, C.SILVER_CUSTOMERS).count() == 1
+    fact = {r.order_id: r.region for r in house.read(spark, C.FACT_SALES).collect()}
+    assert fact == {"O-1": "East", "O-5": "East", "O-6": "West", "O-7": "West"}
+    sums = house.read(spark, C.KPI_REGION_CATEGORY)
+    assert {r.region: r.total_orders for r in sums.collect()} == {"East": 2, "West": 2}
+    assert C.REFRESHED_AT in sums.columns
+
+    # Nothing new: nothing changes. A new root is a full refresh and gives the same fact rows.
+    house.run(spark, _at(2))
+    assert house.read(spark, C.FACT_SALES).count() == 4
+    again = Lakehouse(house.landing, f"{folder}/again")
+    again.run(spark, _at(3))
+    assert again.read(spark, C.FACT_SALES).count() == 4
+    assert again.read(spark, C.BRONZE_QUARANTINE).count() == 1
+
+
+def test_first_seen_dimensions(spark, folder):
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables", first_seen_dimensions=True)
+    write(house.landing, "1.csv", [_order(1)])
+    house.run(spark, _at(0))
+    write(house.landing, "2.csv", [_order(2, Region="West")])
+    house.run(spark, _at(1))
+    assert [r.region for r in house.read(spark, C.DIM_CUSTOMER).collect()] == ["East"]
+
+
+def _stream_of(spark, folder, build):
+    """A function that appends rows (key, day) to a source, runs the stream, and returns its keys."""
+    schema = "k string, ts timestamp"
+    source, n = f"{folder}/in", [0]
+
+    def step(*rows):
+        n[0] += 1
+        frame = spark.createDataFrame([(k, T0 + timedelta(days=d)) for k, d in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = build(tables.changes(spark, source, frame.schema))
+        query = runs.append(stream, f"{folder}/_c", f"{folder}/out")
+        keys = sorted(r.k for r in spark.read.parquet(f"{folder}/out").collect())
+        return keys, query
+
+    return step
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_global_dedup_never_forgets(spark, folder, salts):
+    step = _stream_of(spark, folder, lambda s: dedup.stream_first_seen(s, ["k"], salts))
+    assert step(*[("hot", 0)] * 50, ("b", 0))[0] == ["b", "hot"]
+    assert step(("hot", 100), ("c", 100))[0] == ["b", "c", "hot"]
+    assert step(("hot", 200), ("b", 1))[0] == ["b", "c", "hot"]
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_bounded_dedup_forgets_after_the_horizon(spark, folder, salts):
+    step = _stream_of(
+        spark, folder,
+        lambda s: dedup.stream_first_seen_within(s, ["k"], "ts", "24 hours", salts))
+    assert step(*[("a", 0)] * 50, ("b", 0))[0] == ["a", "b"]
+    assert step(("a", 0.5))[0] == ["a", "b"]
+    assert step(("c", 10))[0] == ["a", "b", "c"]
+    keys, _ = step(("a", 11))
+    assert keys == ["a", "a", "b", "c"]
+
+
+def test_rows_behind_the_watermark_are_counted(spark, folder):
+    step = _stream_of(
+        spark, folder,
+        lambda s: dedup.stream_first_seen(s.withWatermark("ts", "24 hours"), ["k"], 1))
+    step(("a", 10))
+    keys, query = step(("late", 1), ("b", 10))
+    assert keys == ["a", "b"]
+    dropped = sum(op.numRowsDroppedByWatermark
+                  for p in query.recentProgress for op in p.stateOperators)
+    assert dropped == 1
+
+
+def test_fail_rule_stops_a_stream(spark, folder):
+    from basketry.operators import quality as Q
+
+    rules = [Q.Rule("key", "k IS NOT NULL", Q.FAIL)]
+    step = _stream_of(spark, folder, lambda s: Q.abort_on_violation(s, rules))
+    assert step(("a", 0))[0] == ["a"]
+    with pytest.raises(Exception, match="rule key violated"):
+        step((None, 0))
+
+
+def test_violations_are_reported_with_the_progress(spark, folder):
+    from basketry.operators import quality as Q
+
+    rules = [Q.Rule("only_a", "k = 'a'", Q.WARN)]
+    step = _stream_of(spark, folder, lambda s: Q.watched(s, rules, "watch"))
+    keys, query = step(("a", 0), ("b", 0))
+    assert keys == ["a", "b"]
+    seen = [p.observedMetrics["watch"] for p in query.recentProgress if p.numInputRows]
+    assert [(m["rows"], m["only_a"]) for m in seen] == [(2, 1)]
+
+
+def test_incremental_history_and_replay(spark, folder):
+    schema = "k string, t int, a string, note string"
+    parts = [[("p", 1, "x", "n"), ("p", 5, "x", "n"), ("q", 2, "y", "n")],
+             [("p", 3, "z", "n"), ("r", 9, "x", "n")],
+             [("q", 4, "y", "n"), ("q", 6, "w", "n")]]
+    frames = [spark.createDataFrame(rows, schema) for rows in parts]
+    history = History(f"{folder}/h", ["k"], "t", ["k", "a"], frames[0].schema)
+    everything = frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+    def rows(frame):
+        return sorted([tuple(r) for r in frame.collect()], key=repr)
+
+    for i, frame in enumerate(frames):
+        history.upsert(frame, i)
+        if i == 1:
+            before = rows(history.read(spark))
+            history.upsert(frame, i)
+            assert rows(history.read(spark)) == before
+            # The late change at 3 split the run of x; the unchanged row at 5 opens it again.
+            assert [r for r in before if r[0] == "p"] == [
+                ("p", "x", 1, 3), ("p", "x", 5, None), ("p", "z", 3, 5)]
+    full = scd2.versions(everything, ["k"], "t", ["k", "a"])
+    assert rows(history.read(spark)) == rows(full)
+
+
+def test_kpi_counts_distinct_orders_when_they_repeat(spark):
+    from conftest import SF_SMALL
+
+    from basketry.registry.queries import QUERIES
+
+    fact = QUERIES["fact_star_join"](spark, SF_SMALL)
+    twice = fact.unionByName(fact)
+    once = {tuple(r[:3]): r.total_orders for r in kpi.by_region_category(fact, True).collect()}
+    many = {tuple(r[:3]): r.total_orders for r in kpi.by_region_category(twice).collect()}
+    assert once == many
