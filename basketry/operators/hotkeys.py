@@ -49,13 +49,15 @@ def split_points(
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)
     )
-    fractions = [i / max_slices for i in range(1, max_slices)]
+    fractions = ", ".join(f"{i / max_slices}D" for i in range(1, max_slices))
     points = (
         match_null_safe(df.select(*keys, order), F.broadcast(hot), keys, "inner")
         .groupBy(*keys)
         .agg(
             F.max("_n").alias("_n"),
-            F.percentile_approx(order, fractions, 8 * max_slices).alias("_p"),
+            F.expr(f"percentile_approx(`{order}`, array({fractions}), {8 * max_slices})").alias(
+                "_p"
+            ),
         )
     )
     wanted = F.least(F.ceil(F.col("_n") / rows_per_task), F.lit(max_slices))

@@ -12,7 +12,7 @@ from basketry.functions import dates, measures as M, text
 from basketry.operators import quality as Q, scd2, star
 from basketry.operators.calendar import date_spine
 from basketry.plans import bronze, gold, kpi, rules as R, silver
-from basketry.session import scratch_folder
+from basketry.session import scratch_folder, staged
 from basketry.sources import sales_csv, tables
 from basketry.sources.testtables import FIRST_BY, INGESTED, TIEBREAK_EXTRA, raw_sales
 from basketry.sources.testtables import raw_with_audit, table
@@ -46,27 +46,37 @@ def _bronze(spark, sf_dir):
     return bronze.accepted(_raw(spark, sf_dir))
 
 
+def _stored_bronze(spark, sf_dir):
+    """Bronze as a table, for queries that read it several times: the joins behind the feed then
+    run once."""
+    return staged(_bronze(spark, sf_dir), "bronze")
+
+
+def _kept_orders(base):
+    return silver.with_order_period(Q.keep(silver.order_rows(base), R.ORDER_RULES))
+
+
 def _orders_ok(spark, sf_dir):
-    rows = silver.order_rows(_bronze(spark, sf_dir))
-    return silver.with_order_period(Q.keep(rows, R.ORDER_RULES))
+    return _kept_orders(_bronze(spark, sf_dir))
 
 
 def _orders(spark, sf_dir):
     return silver.orders(_bronze(spark, sf_dir), FIRST_BY, TIEBREAK_EXTRA)
 
 
-def _current_customers(spark, sf_dir, as_of=None):
-    return gold.current_customers(gold.customer_feed(_bronze(spark, sf_dir), as_of))
+def _current_customers(base, as_of=None):
+    return gold.current_customers(gold.customer_feed(base, as_of))
 
 
-def _current_products(spark, sf_dir):
-    return gold.current_products(gold.product_feed(_bronze(spark, sf_dir)))
+def _current_products(base):
+    return gold.current_products(gold.product_feed(base))
 
 
-def _fact(spark, sf_dir):
+def _fact(spark, sf_dir, as_of=None, spine=C.SPINE_BOUNDS):
+    base = _stored_bronze(spark, sf_dir)
     return gold.fact_sales(
-        spark, _orders(spark, sf_dir), _current_customers(spark, sf_dir),
-        _current_products(spark, sf_dir),
+        spark, silver.orders(base, FIRST_BY, TIEBREAK_EXTRA), _current_customers(base, as_of),
+        _current_products(base), spine,
     )
 
 
@@ -427,12 +437,12 @@ def dq_drop_orders(spark, sf_dir):
 
 @registered
 def dq_warn_metrics(spark, sf_dir):
-    base = _bronze(spark, sf_dir)
+    base = _stored_bronze(spark, sf_dir)
     warn = lambda rules: Q.having(rules, Q.WARN)
     reports = [
         Q.report(silver.customer_rows(base), warn(R.customer_rules(AS_OF)), C.SILVER_CUSTOMERS),
         Q.report(silver.product_rows(base), warn(R.PRODUCT_RULES), C.SILVER_PRODUCTS),
-        Q.report(_orders_ok(spark, sf_dir), warn(R.ORDER_RULES), C.SILVER_ORDERS),
+        Q.report(_kept_orders(base), warn(R.ORDER_RULES), C.SILVER_ORDERS),
     ]
     return reduce(DataFrame.unionByName, reports)
 
@@ -487,13 +497,13 @@ def dq_all_reasons(spark, sf_dir):
 
 @registered
 def dq_report(spark, sf_dir):
-    base = _bronze(spark, sf_dir)
+    base = _stored_bronze(spark, sf_dir)
     reports = [
         Q.report(_raw(spark, sf_dir), R.BRONZE_RULES, C.BRONZE_SALES),
         Q.report(silver.customer_rows(base), R.customer_rules(AS_OF), C.SILVER_CUSTOMERS),
         Q.report(silver.product_rows(base), R.PRODUCT_RULES, C.SILVER_PRODUCTS),
         Q.report(silver.order_rows(base), R.ORDER_RULES, C.SILVER_ORDERS),
-        Q.report(_orders(spark, sf_dir), R.FACT_RULES, C.FACT_SALES),
+        Q.report(silver.orders(base, FIRST_BY, TIEBREAK_EXTRA), R.FACT_RULES, C.FACT_SALES),
     ]
     return reduce(DataFrame.unionByName, reports)
 
@@ -563,12 +573,14 @@ def stream_watermark(spark, sf_dir):
 
 @registered
 def stream_static_star_join(spark, sf_dir):
-    customers, products = _current_customers(spark, sf_dir), _current_products(spark, sf_dir)
+    base = _stored_bronze(spark, sf_dir)
+    customers, products = _current_customers(base), _current_products(base)
 
     def joined(orders):
         return gold.fact_sales(spark, orders, customers, products)
 
-    fact = _streamed(spark, _orders(spark, sf_dir), joined, "fact")
+    orders = silver.orders(base, FIRST_BY, TIEBREAK_EXTRA)
+    fact = _streamed(spark, orders, joined, "fact")
     return fact.drop(C.SOURCE_FILE, C.INGESTED_AT)
 
 
@@ -612,12 +624,12 @@ def _dated(rows_of, base: DataFrame) -> DataFrame:
 
 @registered
 def scd2_customer(spark, sf_dir):
-    return gold.dim_customer(_dated(gold.customer_feed, _bronze(spark, sf_dir)))
+    return gold.dim_customer(_dated(gold.customer_feed, _stored_bronze(spark, sf_dir)))
 
 
 @registered
 def scd2_product(spark, sf_dir):
-    return gold.dim_product(_dated(gold.product_feed, _bronze(spark, sf_dir)))
+    return gold.dim_product(_dated(gold.product_feed, _stored_bronze(spark, sf_dir)))
 
 
 @registered
@@ -650,8 +662,9 @@ def scd2_incremental_equals_full(spark, sf_dir):
 # -- joins -------------------------------------------------------------------------------------
 @registered
 def join_left_using(spark, sf_dir):
-    orders = _orders(spark, sf_dir).select("order_id", "customer_id", "sales")
-    customers = _current_customers(spark, sf_dir).select("customer_id", "full_name", "segment")
+    base = _stored_bronze(spark, sf_dir)
+    orders = silver.orders(base, FIRST_BY, TIEBREAK_EXTRA).select("order_id", "customer_id", "sales")
+    customers = _current_customers(base).select("customer_id", "full_name", "segment")
     return orders.join(customers, on="customer_id", how="left")
 
 
@@ -671,11 +684,7 @@ def fact_star_join(spark, sf_dir):
 
 @registered
 def fact_unmatched_dims(spark, sf_dir):
-    fact = gold.fact_sales(
-        spark, _orders(spark, sf_dir), _current_customers(spark, sf_dir, AS_OF),
-        _current_products(spark, sf_dir), SHORT_SPINE,
-    )
-    return star.unmatched(fact)
+    return star.unmatched(_fact(spark, sf_dir, AS_OF, SHORT_SPINE))
 
 
 # -- aggregates, windows, order ----------------------------------------------------------------

@@ -8,7 +8,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry import contracts as C
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+# Columns of the test tables. Stating them saves a job per read to look them up.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+TABLES = list(SCHEMAS)
 
 # Beyond the feed, columns that only serve to put rows of one order in a total order.
 TIEBREAK_EXTRA = ("l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus")
@@ -61,7 +78,7 @@ join {part} on l_partkey = p_partkey
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ def spark():
     session = build_session(
         "tests", "local[8]",
         **{"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1",
-           "spark.driver.bindAddress": "127.0.0.1", "spark.sql.shuffle.partitions": "4",
+           "spark.driver.bindAddress": "127.0.0.1", "spark.sql.shuffle.partitions": "2",
            "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("OFF")
