@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BATCH = "batch"
 
@@ -47,9 +47,19 @@ def snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.parquet(path)
 
 
-def batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table written with ``write_batch``."""
-    return snapshot(spark, path, _with_batch(schema)).drop(BATCH)
+def batches(
+    spark: SparkSession, path: str, schema: T.StructType, up_to: int | None = None
+) -> DataFrame:
+    """All batches of a table written with ``write_batch``, or those up to one of them."""
+    rows = snapshot(spark, path, _with_batch(schema))
+    if up_to is not None:
+        rows = rows.filter(F.col(BATCH) <= up_to)
+    return rows.drop(BATCH)
+
+
+def one_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows of one batch; only its folder is read."""
+    return snapshot(spark, path, _with_batch(schema)).filter(F.col(BATCH) == batch_id).drop(BATCH)
 
 
 def changes(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:

@@ -11,18 +11,25 @@ from basketry.plans import rules as R, silver
 GLOBAL, WITHIN = "global", "within"
 
 
-def customers(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
-    """First valid row seen per customer."""
+def customer_rows(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Valid customer rows; violations of all rules are counted in the progress of the query."""
     rules = R.customer_rules(as_of)
-    rows = Q.keep(Q.watched(silver.customer_rows(bronze), rules, C.SILVER_CUSTOMERS), rules)
-    return dedup.stream_first_seen(rows, ["customer_id"])
+    return Q.keep(Q.watched(silver.customer_rows(bronze), rules, C.SILVER_CUSTOMERS), rules)
+
+
+def product_rows(bronze: DataFrame) -> DataFrame:
+    rows = Q.watched(silver.product_rows(bronze), R.PRODUCT_RULES, C.SILVER_PRODUCTS)
+    return Q.keep(rows, R.PRODUCT_RULES)
+
+
+def customers(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
+    """First valid row seen per customer, as a stateful stream."""
+    return dedup.stream_first_seen(customer_rows(bronze, as_of), ["customer_id"])
 
 
 def products(bronze: DataFrame) -> DataFrame:
-    """First valid row seen per product."""
-    rows = silver.product_rows(bronze)
-    rows = Q.keep(Q.watched(rows, R.PRODUCT_RULES, C.SILVER_PRODUCTS), R.PRODUCT_RULES)
-    return dedup.stream_first_seen(rows, ["product_id"])
+    """First valid row seen per product, as a stateful stream."""
+    return dedup.stream_first_seen(product_rows(bronze), ["product_id"])
 
 
 def orders(

@@ -8,7 +8,10 @@ On disk a history has three parts:
 
 Batch *n* reads slot ``(n - 1) % 2`` and writes slot ``n % 2``, so what is read is never overwritten,
 and a batch that is run again after a failure finds its input as it was. Readers go by ``commits``.
-Only keys that occur in the batch are worked out again, from their log rows; all others are copied.
+
+A key whose new rows all come after everything seen of it needs only its open version and those rows.
+Only keys with late rows are worked out again from the log; a batch without any does not read the
+log. Keys that are not in the batch are copied.
 """
 
 from __future__ import annotations
@@ -20,8 +23,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketry.contracts import END_AT, START_AT
 from basketry.operators import scd2
+from basketry.session import staged
 from basketry.sources import tables
 
+# Greatest sequence seen of a key, kept with its open version.
+LAST_SEEN = "_last_seen"
+
 
 @dataclass(frozen=True)
 class History:
@@ -55,31 +62,69 @@ class History:
         return T.StructType(
             [
                 *[self.schema[name] for name in self.columns],
-                T.StructField(START_AT, at),
-                T.StructField(END_AT, at),
+                *[T.StructField(name, at) for name in (START_AT, END_AT, LAST_SEEN)],
             ]
         )
 
+    def _versions_of(self, rows: DataFrame) -> DataFrame:
+        return scd2.versions(
+            rows, self.keys, self.sequence_by, self.columns, self.track, **self.split
+        )
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Add a batch of feed rows; use as the function of ``foreachBatch``."""
-        spark = batch.sparkSession
-        seen = scd2.observations(batch, self.keys, self.sequence_by, self.columns)
+        """Add a batch of feed rows; use as the function of ``foreachBatch``.
+
+        Rows with a NULL key identify nothing and are left out.
+        """
+        spark, keys, at = batch.sparkSession, list(self.keys), self.sequence_by
+        known = batch.dropna(subset=keys)
+        seen = scd2.observations(known, keys, at, self.columns)
         tables.write_batch(seen, self._log, batch_id)
+        # A later batch may lie in the log already if this one is being run again.
+        log = tables.batches(spark, self._log, self._log_schema(), up_to=batch_id)
+        new = tables.one_batch(spark, self._log, self._log_schema(), batch_id)
 
-        # Later batches may lie in the log if this one is being run again.
-        log = tables.snapshot(
-            spark, self._log, T.StructType([*self._log_schema(), T.StructField(tables.BATCH,
-                                                                               T.LongType())])
-        ).filter(F.col(tables.BATCH) <= batch_id)
-        touched = log.filter(F.col(tables.BATCH) == batch_id).select(*self.keys).distinct()
-        affected = log.drop(tables.BATCH).join(touched, list(self.keys), "left_semi")
-        history = scd2.versions(
-            affected, self.keys, self.sequence_by, self.columns, self.track, **self.split
-        )
         if batch_id > 0:
             before = tables.snapshot(spark, self._slot(batch_id - 1), self._version_schema())
-            history = before.join(touched, list(self.keys), "left_anti").unionByName(history)
-        tables.refresh(history, self._slot(batch_id))
+        else:
+            before = spark.createDataFrame([], self._version_schema())
+        still_open = before.filter(F.col(END_AT).isNull())
+
+        # One row per key of the batch: is any of it late, and how far does the key now reach?
+        touched = staged(
+            new.groupBy(*keys)
+            .agg(F.min(at).alias("_first"), F.max(at).alias("_newest"))
+            .join(still_open.select(*keys, LAST_SEEN), keys, "left")
+            .select(
+                *keys,
+                F.coalesce(F.col("_first") <= F.col(LAST_SEEN), F.lit(False)).alias("_late"),
+                F.greatest("_newest", LAST_SEEN).alias("_reach"),
+            ),
+            "touched-keys",
+        )
+        late = touched.filter("_late").select(*keys)
+        in_order = touched.filter("NOT _late").select(*keys)
+
+        opened = still_open.join(in_order, keys, "left_semi").withColumn(at, F.col(START_AT))
+        forward = opened.select(*self._stored()).unionByName(
+            new.join(in_order, keys, "left_semi").select(*self._stored())
+        )
+        backward = log.join(late, keys, "left_semi").select(*self._stored())
+        changed = (
+            self._versions_of(forward)
+            .unionByName(self._versions_of(backward))
+            .join(touched.select(*keys, "_reach"), keys)
+            .withColumn(LAST_SEEN, F.when(F.col(END_AT).isNull(), F.col("_reach")))
+            .drop("_reach")
+        )
+        # Closed versions of keys in order stay; their open ones are in ``changed``.
+        kept = before.join(touched.select(*keys, "_late"), keys, "left").filter(
+            F.col("_late").isNull() | (~F.col("_late") & F.col(END_AT).isNotNull())
+        )
+        tables.refresh(
+            kept.drop("_late").unionByName(changed).select(*self._version_schema().names),
+            self._slot(batch_id),
+        )
 
         done = spark.range(1).select(F.lit(batch_id).cast("long").alias("done"))
         tables.write_batch(done, self._commits, batch_id)
@@ -87,4 +132,4 @@ class History:
     def read(self, spark: SparkSession) -> DataFrame:
         """The history as of the last finished batch."""
         last = tables.snapshot(spark, self._commits).agg(F.max("done")).first()[0]
-        return tables.snapshot(spark, self._slot(last), self._version_schema())
+        return tables.snapshot(spark, self._slot(last), self._version_schema()).drop(LAST_SEEN)

@@ -18,6 +18,7 @@ from basketry.operators.star import star_join
 from basketry.plans import gold, kpi, rules as R, silver
 from basketry.sources import tables
 from basketry.streaming import cleansing, ingest
+from basketry.streaming.firsts import FirstSeen
 from basketry.streaming.history import History
 from basketry.streaming.runs import append, finish, start_append, start_batches
 
@@ -49,15 +50,22 @@ class Lakehouse:
             return tables.batches(spark, self.path(table), ingest.bronze_schema())
         if table == C.BRONZE_QUARANTINE:
             return tables.batches(spark, self.path(table), ingest.quarantine_schema())
+        if table in (C.SILVER_CUSTOMERS, C.SILVER_PRODUCTS):
+            return tables.batches(spark, self.path(table), self.stored_schema(spark, table))
         if table in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             return self.history(spark, table).read(spark)
         stored = self.stored_schema(spark, table)
         return tables.snapshot(spark, self.path(table), stored)
 
     def stored_schema(self, spark: SparkSession, table: str) -> T.StructType | None:
-        """Schema of the tables with text partition columns, which Spark would read as numbers."""
+        """Schema of the silver tables and the fact. Text partition columns make it necessary: Spark
+        would read them as numbers."""
+        empty = spark.createDataFrame([], ingest.bronze_schema())
+        if table == C.SILVER_CUSTOMERS:
+            return silver.customer_rows(empty).schema
+        if table == C.SILVER_PRODUCTS:
+            return silver.product_rows(empty).schema
         if table == C.SILVER_ORDERS:
-            empty = spark.createDataFrame([], ingest.bronze_schema())
             return silver.with_order_period(silver.order_rows(empty)).schema
         if table == C.FACT_SALES:
             return self._fact(spark, self._no_orders(spark)).schema
@@ -88,17 +96,26 @@ class Lakehouse:
 
     def run_silver(self, spark: SparkSession) -> None:
         bronze = self.bronze_changes(spark)
-        orders = cleansing.orders(bronze, self.order_mode, self.horizon)
-        streams = {
-            C.SILVER_CUSTOMERS: cleansing.customers(bronze),
-            C.SILVER_PRODUCTS: cleansing.products(bronze),
-            C.SILVER_ORDERS: orders,
+        kept = {
+            C.SILVER_CUSTOMERS: (cleansing.customer_rows(bronze), gold.CUSTOMER_KEY),
+            C.SILVER_PRODUCTS: (cleansing.product_rows(bronze), gold.PRODUCT_KEY),
+        }
+        queries = [
+            start_batches(
+                rows, self.checkpoint(name),
+                FirstSeen(self.path(name), keys, silver.AUDIT, rows.schema).add,
+            )
+            for name, (rows, keys) in kept.items()
+        ]
+        appended = {
+            C.SILVER_ORDERS: cleansing.orders(bronze, self.order_mode, self.horizon),
             C.SILVER_QUARANTINE: silver.quarantine(bronze),
         }
-        finish(
-            start_append(stream, self.checkpoint(name), self.path(name), C.PARTITIONS.get(name, ()))
-            for name, stream in streams.items()
-        )
+        queries += [
+            start_append(rows, self.checkpoint(name), self.path(name), C.PARTITIONS.get(name, ()))
+            for name, rows in appended.items()
+        ]
+        finish(queries)
 
     def run_dimensions(self, spark: SparkSession) -> None:
         if self.first_seen_dimensions:
@@ -119,8 +136,7 @@ class Lakehouse:
         tables.refresh(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
 
     def _silver_changes(self, spark: SparkSession, table: str) -> DataFrame:
-        schema = tables.snapshot(spark, self.path(table)).schema
-        return tables.changes(spark, self.path(table), schema)
+        return tables.batch_changes(spark, self.path(table), self.stored_schema(spark, table))
 
     def _no_orders(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.stored_schema(spark, C.SILVER_ORDERS))

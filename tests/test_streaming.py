@@ -178,3 +178,36 @@ def test_kpi_counts_distinct_orders_when_they_repeat(spark):
     once = {tuple(r[:3]): r.total_orders for r in kpi.by_region_category(fact, True).collect()}
     many = {tuple(r[:3]): r.total_orders for r in kpi.by_region_category(twice).collect()}
     assert once == many
+
+
+def test_incremental_history_of_random_batches(spark, folder):
+    import random
+
+    rng = random.Random(5)
+    schema = "k string, t int, a string, note string"
+    history = History(f"{folder}/h", ["k"], "t", ["k", "a"],
+                      spark.createDataFrame([], schema).schema)
+    everything = []
+    for i in range(4):
+        # Mostly in order, some late, some ties with what was seen, some new keys.
+        rows = [(rng.choice("pqrstuvw"[: 3 + i]), 10 * i + rng.randrange(-4 if i % 2 else 0, 10),
+                 rng.choice("xyz"), "n") for _ in range(14)]
+        everything += rows
+        history.upsert(spark.createDataFrame(rows, schema), i)
+        full = scd2.versions(spark.createDataFrame(everything, schema), ["k"], "t", ["k", "a"])
+        got = sorted([tuple(r) for r in history.read(spark).collect()], key=repr)
+        assert got == sorted([tuple(r) for r in full.collect()], key=repr)
+
+
+def test_first_seen_batches_can_run_again(spark, folder):
+    from basketry.streaming.firsts import FirstSeen
+
+    schema = "k string, t int, v string"
+    first = spark.createDataFrame([("a", 2, "late"), ("a", 1, "early"), ("b", 1, "b")], schema)
+    second = spark.createDataFrame([("a", 0, "again"), ("c", 9, "c")], schema)
+    table = FirstSeen(f"{folder}/t", ["k"], ["t"], first.schema)
+    table.add(first, 0)
+    for _ in range(2):
+        table.add(second, 1)
+        rows = tables.batches(spark, f"{folder}/t", first.schema).collect()
+        assert sorted(r.v for r in rows) == ["b", "c", "early"]
