@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 # --- Fixed values: the raw feed, in file order: header, type, column name -------------------
@@ -60,30 +62,34 @@ KPI_PRODUCT = "gold_kpi_product_performance"
 KPI_MONTHLY = "gold_kpi_monthly_sales_trend"
 KPI_OUTLET_CITY = "gold_kpi_outlet_city_analysis"
 
-# --- Fixed values: partition columns ----------------------------------------------------------
-PARTITIONS = {
-    BRONZE_SALES: [INGEST_YEAR, INGEST_MONTH],
-    SILVER_ORDERS: ["order_year"],
-    FACT_SALES: ["order_year"],
-}
 
-# --- Fixed values: layer tag of each table ----------------------------------------------------
-QUALITY_TAG = {
-    BRONZE_SALES: "bronze",
-    BRONZE_QUARANTINE: "quarantine",
-    SILVER_CUSTOMERS: "silver",
-    SILVER_PRODUCTS: "silver",
-    SILVER_ORDERS: "silver",
-    SILVER_QUARANTINE: "quarantine",
-    DIM_CUSTOMER: "gold",
-    DIM_PRODUCT: "gold",
-    DIM_DATE: "gold",
-    FACT_SALES: "gold",
-    KPI_REGION_CATEGORY: "gold",
-    KPI_SEGMENT: "gold",
-    KPI_PRODUCT: "gold",
-    KPI_MONTHLY: "gold",
-    KPI_OUTLET_CITY: "gold",
+@dataclass(frozen=True)
+class TableInfo:
+    """What a table is: its layer tag, what one row stands for, how it is partitioned."""
+
+    quality: str
+    comment: str
+    partition_by: tuple[str, ...] = ()
+
+
+# --- Fixed values: layer tags and partition columns; the comments are ours --------------------
+TABLES = {
+    BRONZE_SALES: TableInfo("bronze", "Feed rows that pass the bronze rules, append only",
+                            (INGEST_YEAR, INGEST_MONTH)),
+    BRONZE_QUARANTINE: TableInfo("quarantine", "Feed rows that fail a bronze rule, with reason"),
+    SILVER_CUSTOMERS: TableInfo("silver", "Cleansed customers, one row each"),
+    SILVER_PRODUCTS: TableInfo("silver", "Cleansed products, one row each"),
+    SILVER_ORDERS: TableInfo("silver", "Cleansed orders, one row each", ("order_year",)),
+    SILVER_QUARANTINE: TableInfo("quarantine", "Bronze rows kept out of the orders, with reason"),
+    DIM_CUSTOMER: TableInfo("gold", "Customer versions with their validity"),
+    DIM_PRODUCT: TableInfo("gold", "Product versions with their validity"),
+    DIM_DATE: TableInfo("gold", "Calendar, one row per day"),
+    FACT_SALES: TableInfo("gold", "Orders with dimension attributes", ("order_year",)),
+    KPI_REGION_CATEGORY: TableInfo("gold", "Sales by region, category and year"),
+    KPI_SEGMENT: TableInfo("gold", "Sales by customer segment, city type, outlet type and year"),
+    KPI_PRODUCT: TableInfo("gold", "Sales by product with rank in the category"),
+    KPI_MONTHLY: TableInfo("gold", "Monthly sales by region and category with growth"),
+    KPI_OUTLET_CITY: TableInfo("gold", "Sales by outlet type, city type, region and year"),
 }
 
 # --- Fixed values: value domains, case-sensitive ----------------------------------------------

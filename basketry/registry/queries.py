@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry import contracts as C
 from basketry.functions import dates, measures as M, text
-from basketry.operators import quality as Q, scd2, star
-from basketry.operators.calendar import date_spine
+from basketry.operators import calendar, quality as Q, scd2, star
 from basketry.plans import bronze, gold, kpi, rules as R, silver
 from basketry.session import scratch_folder, staged
 from basketry.sources import sales_csv, tables
@@ -120,9 +119,13 @@ def _landing(spark, sf_dir) -> str:
     return folder
 
 
-def _ingested(spark, sf_dir, max_files=C.MAX_FILES_PER_TRIGGER, passes=1) -> DataFrame:
+def _ingested(spark, sf_dir, triggers=None, passes=1) -> DataFrame:
     """Accepted and rejected rows of a triggered ingestion, put together again."""
     landing, root = _landing(spark, sf_dir), scratch_folder(spark, "tables")
+    max_files = C.MAX_FILES_PER_TRIGGER
+    if triggers:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing)
+        max_files = -(-files.select("path").count() // triggers)
     for _ in range(passes):
         ingest.ingest(
             spark, landing, root, f"{root}/_checkpoints/ingest", max_files,
@@ -136,10 +139,11 @@ def _ingested(spark, sf_dir, max_files=C.MAX_FILES_PER_TRIGGER, passes=1) -> Dat
     )
 
 
-def _all_csv(spark, folder) -> DataFrame:
-    paths = [row[0] for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-             .option("recursiveFileLookup", "true").load(folder).select("path").collect()]
-    return sales_csv.read_files(spark, paths)
+def _loaded(spark, landing) -> DataFrame:
+    """The rows of all CSV files under ``landing``, read in triggers of bounded size."""
+    target = scratch_folder(spark, "loaded")
+    ingest.load(spark, landing, f"{target}/table", f"{target}/_checkpoints")
+    return tables.batches(spark, f"{target}/table", sales_csv.feed_with_lineage_schema())
 
 
 @registered
@@ -150,12 +154,12 @@ def src_csv_incremental(spark, sf_dir):
 
 @registered
 def src_csv_header_by_name(spark, sf_dir):
-    return _all_csv(spark, _landing(spark, sf_dir)).select(*C.FEED_COLUMNS)
+    return _loaded(spark, _landing(spark, sf_dir)).select(*C.FEED_COLUMNS)
 
 
 @registered
 def src_explicit_schema(spark, sf_dir):
-    rows = _all_csv(spark, _landing(spark, sf_dir))
+    rows = _loaded(spark, _landing(spark, sf_dir))
     return rows.select(
         "order_id", "year", "postal_code", "quantity", "sales", "discount", "profit"
     )
@@ -171,7 +175,7 @@ def src_rescued_data(spark, sf_dir):
     titled = [F.col(n).alias(h) for h, _, n in C.RAW_FIELDS if n != "quantity"]
     _write_csv(rows.select(F.col("l_returnflag").alias("Return Flag"), *titled,
                            quantity.alias("Quantity")), folder)
-    return _all_csv(spark, folder).select(
+    return _loaded(spark, folder).select(
         "order_id", "customer_id", "product_id", "quantity",
         F.get_json_object(C.RESCUED, "$.Quantity").alias("rescued_quantity"),
         F.get_json_object(C.RESCUED, "$['Return Flag']").alias("rescued_flag"),
@@ -180,7 +184,8 @@ def src_rescued_data(spark, sf_dir):
 
 @registered
 def src_max_files_per_trigger(spark, sf_dir):
-    return _ingested(spark, sf_dir, max_files=1).drop("side")
+    """The files come in four portions."""
+    return _ingested(spark, sf_dir, triggers=4).drop("side")
 
 
 @registered
@@ -190,7 +195,7 @@ def src_trigger_available_now(spark, sf_dir):
 
 @registered
 def src_file_metadata(spark, sf_dir):
-    rows = _all_csv(spark, _landing(spark, sf_dir))
+    rows = _loaded(spark, _landing(spark, sf_dir))
     return rows.groupBy(C.SOURCE_FILE, C.FILE_MODIFIED).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -340,18 +345,15 @@ def date_weekend_flags(spark, sf_dir):
 
 
 @registered
-def date_spine_orders(spark, sf_dir):
+def date_spine(spark, sf_dir):
     """The calendar with the number of orders of each day."""
     per_day = _order_days(spark, sf_dir).groupBy("d").agg(F.count(F.lit(1)).alias("n"))
-    days = date_spine(spark)
+    days = calendar.date_spine(spark)
     return days.join(per_day, days.full_date == per_day.d, "left").select(
         *days.columns, F.coalesce("n", F.lit(0)).alias("n_orders")
     )
 
 
-QUERIES["date_spine"] = QUERIES.pop("date_spine_orders")
-
-
 @registered
 def scalar_round(spark, sf_dir):
     return raw_sales(spark, sf_dir).select(
@@ -671,7 +673,7 @@ def join_left_using(spark, sf_dir):
 @registered
 def join_left_expr(spark, sf_dir):
     orders = _orders(spark, sf_dir)
-    days = F.broadcast(date_spine(spark))
+    days = F.broadcast(calendar.date_spine(spark))
     return orders.join(days, orders.order_date == days.full_date, "left").select(
         "order_id", "order_date", "date_key", "quarter_label"
     )

@@ -40,13 +40,15 @@ def build_session(app: str = "basketry", master: str | None = None, **conf: str)
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in local tests, is a temporary folder made and recorded
-    in the session, so that later calls and ``checkpoint()`` share it.
+    Only in local mode may that setting be absent; a temporary folder is then made and recorded in
+    the session for later calls. On a cluster a folder of one machine would not do.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("basketry.scratch.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="basketry-")
         spark.conf.set("basketry.scratch.dir", root)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from basketry.contracts import TableInfo
+
 BATCH = "batch"
 
 
@@ -29,6 +31,16 @@ def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def publish(df: DataFrame, name: str, path: str, info: TableInfo) -> None:
+    """Write ``df`` to ``path`` as catalog table ``name`` with comment and layer tag."""
+    rows = balanced(df, info.partition_by) if info.partition_by else df
+    writer = rows.write.mode("overwrite").option("path", path).partitionBy(*info.partition_by)
+    writer.saveAsTable(name)
+    spark = df.sparkSession
+    spark.sql(f"COMMENT ON TABLE {name} IS '{info.comment}'")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{info.quality}')")
+
+
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
 ) -> None:

@@ -32,6 +32,27 @@ def write_split(
         tagged.unpersist()
 
 
+def load(
+    spark: SparkSession,
+    landing: str,
+    path: str,
+    checkpoint: str,
+    max_files: int = C.MAX_FILES_PER_TRIGGER,
+    **csv_options: str,
+) -> StreamingQuery:
+    """Store the rows of the files that are new in ``landing``, typed, unchecked, with lineage.
+
+    However many files there are, the driver handles the names and headers of one trigger at a time.
+    """
+
+    def each_batch(found: DataFrame, batch_id: int) -> None:
+        paths = [row.path for row in found.collect()]
+        rows = sales_csv.read_files(found.sparkSession, paths, **csv_options)
+        tables.write_batch(rows, path, batch_id)
+
+    return drain(sales_csv.discovered(spark, landing, max_files), checkpoint, each_batch)
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -56,7 +77,7 @@ def ingest(
             f"{root}/{C.BRONZE_SALES}",
             f"{root}/{C.BRONZE_QUARANTINE}",
             bronze.quarantine,
-            C.PARTITIONS[C.BRONZE_SALES],
+            C.TABLES[C.BRONZE_SALES].partition_by,
         )
 
     return drain(sales_csv.discovered(spark, landing, max_files), checkpoint, each_batch)

@@ -112,7 +112,7 @@ class Lakehouse:
             C.SILVER_QUARANTINE: silver.quarantine(bronze),
         }
         queries += [
-            start_append(rows, self.checkpoint(name), self.path(name), C.PARTITIONS.get(name, ()))
+            start_append(rows, self.checkpoint(name), self.path(name), C.TABLES[name].partition_by)
             for name, rows in appended.items()
         ]
         finish(queries)
@@ -159,7 +159,7 @@ class Lakehouse:
             self._fact(spark, orders),
             self.checkpoint(C.FACT_SALES),
             self.path(C.FACT_SALES),
-            C.PARTITIONS[C.FACT_SALES],
+            C.TABLES[C.FACT_SALES].partition_by,
         )
 
     def run_kpis(self, spark: SparkSession) -> None:

@@ -31,7 +31,7 @@ def test_triggered_runs_end_to_end(spark, folder):
         _order(1), _order(1, Sales="99"), _order(2, Quantity="11"), _order(3, Discount="0.9"),
         _order(4, **{"Order Date": "soon"}), _order(5, **{"Product ID": "P-2", "Sales": "20"})])
     house.run(spark, _at(0))
-    counts = {t: house.read(spark, t).count() for t in C.QUALITY_TAG}
+    counts = {t: house.read(spark, t).count() for t in C.TABLES}
     assert counts == {
         C.BRONZE_SALES: 5, C.BRONZE_QUARANTINE: 1, C.SILVER_CUSTOMERS: 1, C.SILVER_PRODUCTS: 2,
         C.SILVER_ORDERS: 2, C.SILVER_QUARANTINE: 2, C.DIM_CUSTOMER: 1, C.DIM_PRODUCT: 2,
@@ -211,3 +211,14 @@ def test_first_seen_batches_can_run_again(spark, folder):
         table.add(second, 1)
         rows = tables.batches(spark, f"{folder}/t", first.schema).collect()
         assert sorted(r.v for r in rows) == ["b", "c", "early"]
+
+
+def test_published_table_carries_comment_and_properties(spark, folder):
+    rows = spark.range(6).selectExpr("id", "cast(2020 + id % 2 as string) as order_year")
+    tables.publish(rows, "fact_published", f"{folder}/t", C.TABLES[C.FACT_SALES])
+    described = {r.col_name: r.data_type for r in
+                 spark.sql("DESCRIBE TABLE EXTENDED fact_published").collect()}
+    assert described["Comment"] == C.TABLES[C.FACT_SALES].comment
+    assert "quality=gold" in described["Table Properties"]
+    assert spark.table("fact_published").filter("order_year = '2020'").count() == 3
+    spark.sql("DROP TABLE fact_published")
