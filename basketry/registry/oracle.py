@@ -440,6 +440,9 @@ from raw group by all""".replace("{bad}", "rejected").replace("{good}", "accepte
     "dedup_products": f"select {PRODUCT_COLUMNS} from products",
     "dedup_orders": "select order_id, customer_id, product_id, sales, quantity, discount, profit, "
                     "ship_date from orders_clean",
+    "dedup_orders_before_rules": f"""select {ORDER_COLUMNS} from (
+  select *, row_number() over (partition by order_id order by {FIRST_BY}) as rn from order_rows)
+where rn = 1 and {ORDER_OK}""",
     "stream_dedup_global": f"select {CUSTOMER_COLUMNS} from customers",
     "stream_dedup_watermark": "select distinct order_id, customer_id from orders_ok",
     "stream_dedup_within": "select distinct order_id, customer_id from orders_ok",

@@ -529,6 +529,13 @@ def dedup_orders(spark, sf_dir):
     )
 
 
+@registered
+def dedup_orders_before_rules(spark, sf_dir):
+    """One row per order is chosen first and checked afterwards."""
+    orders = silver.orders(_bronze(spark, sf_dir), FIRST_BY, TIEBREAK_EXTRA, dedup_first=True)
+    return orders.drop(C.SOURCE_FILE, C.INGESTED_AT)
+
+
 def _streamed(spark, rows: DataFrame, transform, label: str) -> DataFrame:
     """Store ``rows``, run ``transform`` over them as a stream, and read what it stored."""
     source, target = scratch_folder(spark, f"{label}-in"), scratch_folder(spark, label)
