@@ -99,3 +99,40 @@ def test_ranks_of_a_hot_group_are_cut_into_slices(spark):
     assert len(points.first()[hotkeys.SPLITS]) == 9
     ranked = ranking.rank_in_group(frame, ["g"], "v", "r", 100, 32)
     assert ranked.filter("r <> 1000 - id").count() == 0
+
+
+def test_a_hot_customer_is_split_by_the_star_join(spark):
+    from basketry import contracts as C
+    from basketry.operators.calendar import date_spine
+    from basketry.operators.star import star_join
+    from basketry.streaming.ingest import bronze_schema
+
+    empty = silver.with_order_period(
+        silver.order_rows(spark.createDataFrame([], bronze_schema())))
+    given = {"order_id": "concat('O', id)", "product_id": "concat('P', id % 500)",
+             "customer_id": "if(id % 3 = 0, 'hot', concat('C', id % 5000))",
+             "order_date": "date '2020-01-01'", "sales": "10.0D"}
+    orders = staged(spark.range(0, 400_000, 1, 8).selectExpr(*[
+        f"cast({given.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}"
+        for f in empty.schema]), "skewed-orders")
+    customers = spark.range(5001).selectExpr(
+        "if(id = 5000, 'hot', concat('C', id)) as customer_id",
+        *[f"'x' as {n}" for n in ("full_name", "segment", "city_type", "region", "outlet_type",
+                                  "state")])
+    products = spark.range(500).selectExpr(
+        "concat('P', id) as product_id", "'x' as product_name", "'y' as category_of_goods",
+        "'z' as sub_category")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        fact = star_join(orders, customers, products, date_spine(spark), 4018)
+        totals = fact.groupBy("region", C.SOURCE_FILE).count()
+        assert "skew=true" in final_plan_of(totals)
+        assert totals.first()["count"] == 400_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
