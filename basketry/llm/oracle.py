@@ -6,6 +6,32 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 SQL: dict[str, str] = {
+    # Base32 spelled from each 20 bits (5 hexadecimal digits) of the SHA-1.
+    "op2_warc_revisits": """
+        with rows as (
+            select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as hex
+            from pages),
+        named as (
+            select *, array_to_string([array_to_string([
+                       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                              1 + ((('0x' || substr(hex, 5 * g + 1, 5))::int >> b) & 31), 1)
+                       for b in [15, 10, 5, 0]], '') for g in range(8)], '') as payload_digest,
+                   min(page_id) over (partition by hex) as first
+            from rows)
+        select page_id, payload_bytes, payload_digest,
+               case when page_id = first then 'response' else 'revisit' end as record_type,
+               case when page_id <> first then first end as refers_to
+        from named""",
+    "op8_exact_top_k": """
+        with v as (
+            select vec_id, [floor(64 * x::double) for x in embedding] as w from embeddings
+            where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+        pairs as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.w, c.w)::bigint as score
+            from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+        select query_id, row_number() over best::int as rank, vec_id, score from pairs
+        window best as (partition by query_id order by score desc, vec_id)
+        qualify row_number() over best <= 20""",
     "op10_exact_dedup": rf"""
         with rows as (
             select doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACES}', ' ', 'g')) as text_sha256

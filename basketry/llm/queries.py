@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm.exact_dedup import exact_duplicates
 from basketry.llm.shared import table
+from basketry.llm.topk import top_k
+from basketry.llm.warc import archived_pages
+
+
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +26,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_revisits": op2_warc_revisits,
+    "op8_exact_top_k": op8_exact_top_k,
     "op10_exact_dedup": op10_exact_dedup,
 }
