@@ -8,11 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.exact_dedup import exact_duplicates
+from basketry.llm.language_id import languages
+from basketry.llm.mixing import mixed
 from basketry.llm.shared import table
 from basketry.llm.topk import top_k
 from basketry.llm.warc import archived_pages
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
@@ -26,6 +37,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op4_source_mixing": op4_source_mixing,
     "op2_warc_revisits": op2_warc_revisits,
     "op8_exact_top_k": op8_exact_top_k,
     "op10_exact_dedup": op10_exact_dedup,
