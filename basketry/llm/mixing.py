@@ -132,7 +132,7 @@ def mixed_shard(shard: pd.DataFrame, block: int, most: int, seed: int) -> pd.Dat
         ["row", "doc_id", "size", "source_size", "target", "taken", "copies", "ranges"]]
 
 
-MIXED = ("row long, doc_id long, size long, source_size long, target double, taken long, copies long, "
+MIXED = ("row long, doc_id string, size long, source_size long, target double, taken long, copies long, "
          "ranges array<struct<first long, last long>>")
 
 
@@ -157,8 +157,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     shards = slice_count(rows.count(), rows_per_shard)
     dealt = (
         rows.join(shares, rows["source"].eqNullSafe(shares["source"]))
-        .select("row", "doc_id", "size", "spread", "place", "source_size", "target",
-                F.pmod("spread", F.lit(shards)).alias("shard"))
+        # As text: a NULL among numbers would make pandas round them.
+        .select("row", F.col("doc_id").cast("string").alias("doc_id"), "size", "spread", "place",
+                "source_size", "target", F.pmod("spread", F.lit(shards)).alias("shard"))
     )
     return dealt.groupBy("shard").applyInPandas(
-        lambda shard: mixed_shard(shard, block, most, seed), MIXED)
+        lambda shard: mixed_shard(shard, block, most, seed), MIXED,
+    ).withColumn("doc_id", F.col("doc_id").cast("long"))

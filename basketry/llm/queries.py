@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.exact_dedup import exact_duplicates
 from basketry.llm.language_id import languages
 from basketry.llm.mixing import mixed
+from basketry.llm.packing import packed
 from basketry.llm.shared import table
+from basketry.llm.token_files import token_digests
 from basketry.llm.topk import top_k
 from basketry.llm.warc import archived_pages
 
@@ -28,6 +31,14 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -40,6 +51,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_source_mixing": op4_source_mixing,
     "op2_warc_revisits": op2_warc_revisits,
+    "op6_mixture_packing": op6_mixture_packing,
+    "op7_token_files": op7_token_files,
     "op8_exact_top_k": op8_exact_top_k,
     "op10_exact_dedup": op10_exact_dedup,
 }
