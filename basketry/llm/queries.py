@@ -15,6 +15,7 @@ from basketry.llm.packing import packed
 from basketry.llm.shared import table
 from basketry.llm.token_files import token_digests
 from basketry.llm.topk import top_k
+from basketry.llm.url_rules import judged
 from basketry.llm.warc import archived_pages
 
 
@@ -22,6 +23,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "pages"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_url_rules": op3_url_rules,
     "op4_source_mixing": op4_source_mixing,
     "op2_warc_revisits": op2_warc_revisits,
     "op6_mixture_packing": op6_mixture_packing,
