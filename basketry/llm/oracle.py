@@ -32,6 +32,20 @@ SQL: dict[str, str] = {
         select query_id, row_number() over best::int as rank, vec_id, score from pairs
         window best as (partition by query_id order by score desc, vec_id)
         qualify row_number() over best <= 20""",
+    "op9_substring_dedup": rf"""
+        with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') as w from documents),
+        windows as (
+            select doc_id, unnest(range(1, len(w) - 48)) as i, w from texts where len(w) >= 50),
+        named as (select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as h from windows),
+        first as (select h, min(doc_id) as low from named group by h),
+        covered as (
+            select distinct doc_id, unnest(range(i, i + 50)) as place
+            from named join first using (h) where low < doc_id),
+        gone as (select doc_id, list(place) as places, count(*) as n from covered group by doc_id)
+        select doc_id, len(w) as n_words, coalesce(n, 0) as n_removed,
+               sha256(coalesce(array_to_string([x for x, k in w if n is null or not list_contains(places, k)], ' '), ''))
+                   as kept_sha256
+        from texts left join gone using (doc_id)""",
     "op10_exact_dedup": rf"""
         with rows as (
             select doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACES}', ' ', 'g')) as text_sha256

@@ -13,6 +13,7 @@ from basketry.llm.language_id import languages
 from basketry.llm.mixing import mixed
 from basketry.llm.packing import packed
 from basketry.llm.shared import table
+from basketry.llm.substring_dedup import without_repeats
 from basketry.llm.token_files import token_digests
 from basketry.llm.topk import top_k
 from basketry.llm.url_rules import judged
@@ -48,6 +49,10 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -60,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixture_packing": op6_mixture_packing,
     "op7_token_files": op7_token_files,
     "op8_exact_top_k": op8_exact_top_k,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,28 +31,26 @@ def slice_count(rows: int, per_slice: int, most: int = 1_000_000) -> int:
     return max(1, min(most, -(-rows // per_slice)))
 
 
-def membership_filter(keys: DataFrame) -> np.ndarray:
-    """A fixed-size set of the hashes in column ``key``, to skip rows early.
+def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` without most of those whose ``columns`` are not in ``keys``, before they are shuffled.
 
-    It holds every key, and others by chance: the fuller, the fewer rows it skips. Only an exact
-    join behind it decides. The driver receives at most ``FILTER_BITS`` / 64 rows.
+    The keys' hashes are gathered in a bit set of fixed size, at most ``FILTER_BITS`` / 64 rows, which
+    is broadcast. It holds every key, and others by chance: the more keys, the fewer rows are
+    skipped. So only an exact join behind it decides.
     """
-    bit = F.pmod(F.col("key"), F.lit(FILTER_BITS))
-    words = (
-        keys.select((bit / 64).cast("int").alias("word"),
-                    F.expr(f"shiftleft(1L, cast(pmod(key, {FILTER_BITS}) % 64 as int))").alias("bits"))
-        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    bit = F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
+    bits = (
+        keys.select(bit.alias("__bit"))
+        .groupBy((F.col("__bit") / 64).cast("int").alias("__word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(__bit % 64 as int))")).alias("__bits"))
+    )
+    return (
+        rows.withColumn("__bit", bit).withColumn("__word", (F.col("__bit") / 64).cast("int"))
+        .join(F.broadcast(bits), "__word")
+        .filter(F.getbit("__bits", (F.col("__bit") % 64).cast("int")) == 1)
+        .drop("__bit", "__word", "__bits")
     )
-    held = np.zeros(FILTER_BITS // 64, np.uint64)
-    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return held
-
-
-def maybe_in(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Which of the signed 64-bit ``keys`` may be in the filter."""
-    bit = np.mod(keys.astype(np.int64), FILTER_BITS).astype(np.uint64)
-    return (held[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
 
-__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "membership_filter", "scratch_folder",
-           "slice_count", "staged", "table", "words_in"]
+__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "staged", "table",
+           "words_in"]
