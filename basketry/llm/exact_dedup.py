@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import SPACES, staged
+from basketry.llm.shared import SPACES, staged, staying
 
 #: A chunk ends after a punctuation mark and a space (or a full-width mark), 256 characters after
 #: its start at the earliest and 4,096 at the latest.
@@ -79,15 +79,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    dropped = (
-        exact_duplicates(docs, id_col, text_col).groupBy("doc_id", "text_sha256")
-        .agg(F.count_if("kept").alias("_stay"), F.count(F.lit(1)).alias("_rows"))
-        .filter("_stay < _rows").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"),
-                F.col("_stay").alias("__stay"))
-    )
-    marked = docs.withColumn("__own_sha", F.sha2(normalised(F.col(text_col)), 256)).join(
-        dropped, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own_sha") == F.col("__sha")), "left")
-    alone = marked.filter("__stay is null")
-    # Rows repeated with their id: one of them stays.
-    repeated = marked.filter("__stay = 1").dropDuplicates([id_col, "__own_sha"])
-    return alone.select(docs.columns).unionByName(repeated.select(docs.columns))
+    found = exact_duplicates(docs, id_col, text_col).select(
+        "doc_id", F.col("text_sha256").alias("text_key"), F.col("kept").alias("stays"))
+    return staying(docs, found, F.col(id_col), F.sha2(normalised(F.col(text_col)), 256))

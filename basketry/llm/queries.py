@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basketry.llm.exact_dedup import exact_duplicates
 from basketry.llm.language_id import languages
 from basketry.llm.mixing import mixed
+from basketry.llm.ngram_join import joined
 from basketry.llm.packing import packed
 from basketry.llm.shared import table
 from basketry.llm.substring_dedup import without_repeats
@@ -37,6 +38,11 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joined(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "class_size", "stays")
+
+
 def op6_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_rules": op3_url_rules,
     "op4_source_mixing": op4_source_mixing,
     "op2_warc_revisits": op2_warc_revisits,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_mixture_packing": op6_mixture_packing,
     "op7_token_files": op7_token_files,
     "op8_exact_top_k": op8_exact_top_k,

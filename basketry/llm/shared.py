@@ -52,5 +52,22 @@ def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "staged", "table",
-           "words_in"]
+def staying(rows: DataFrame, decisions: DataFrame, id_key: Column, text_key: Column) -> DataFrame:
+    """``rows`` without those that ``decisions`` (doc_id, text_key, stays), one for each row, drop.
+
+    Of rows that agree in id and text, as many stay as the decisions say: all, none or one.
+    """
+    dropped = (
+        decisions.groupBy("doc_id", "text_key")
+        .agg(F.count_if("stays").alias("__stay"), F.count(F.lit(1)).alias("__rows"))
+        .filter("__stay < __rows")
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), "__stay")
+    )
+    marked = rows.withColumn("__own_id", id_key).withColumn("__own_text", text_key).join(
+        dropped, F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_text") == F.col("__text")), "left")
+    repeated = marked.filter("__stay > 0").dropDuplicates(["__own_id", "__own_text"])
+    return marked.filter("__stay is null").select(rows.columns).unionByName(repeated.select(rows.columns))
+
+
+__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "staged", "staying",
+           "table", "words_in"]
