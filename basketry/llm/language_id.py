@@ -88,9 +88,9 @@ class Model:
         """(language, cosine, whether the text is rejected)."""
         at, weights, n = features(text, int(np.log2(len(self.idf))))
         weights = weights * self.idf[at]
-        length = np.linalg.norm(weights)
-        if not length:
+        if not n:
             return UNDETERMINED, 0.0, True
+        length = np.linalg.norm(weights)
         cosines = weights @ self.centroids[at] / length
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
@@ -178,21 +178,21 @@ def identified(docs: DataFrame, model: Model | None, keep: list[str], text_col:
     """Columns ``keep`` with lang_pred, score and rejected for each row."""
     schema = docs.select(keep).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.select(*keep, *([] if text_col in keep else [text_col]))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for batch in slices(whole, "__text"):
+            for batch in slices(whole, text_col):
                 found = [(UNDETERMINED, 0.0, True) if text is None or model is None
-                         else model.nearest(text) for text in batch.column("__text").to_pylist()]
+                         else model.nearest(text) for text in batch.column(text_col).to_pylist()]
                 lang, score, rejected = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in keep), pa.array(lang, pa.string()),
                      pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                     [*keep, "lang_pred", "score", "rejected"])
 
-    worded = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col)).alias("__text")
-    return docs.select(*keep, worded).mapInArrow(predict, schema)
+    return sent.mapInArrow(predict, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -210,5 +210,14 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     by name. Rows that repeat are predicted alike; those without id or language don't train.
     """
     model = fit(docs, ~held_out(id_col), text_col, lang_col, id_col)
-    rows = docs.withColumn("doc_id", F.col(id_col)).withColumn("held_out", held_out(id_col))
-    return identified(rows, model, ["doc_id", "held_out"], text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    return identified(rows, model, ["doc_id", "held_out"])
+
+
+def in_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with their columns."""
+    model = fit(docs, ~held_out(id_col), text_col, lang_col, id_col)
+    plain = [f"c{i}" for i in range(len(docs.columns))]  # so that no column clashes with a result
+    found = identified(docs.toDF(*plain), model, plain, plain[docs.columns.index(text_col)])
+    return found.filter("not rejected").select(plain).toDF(*docs.columns)

@@ -16,7 +16,7 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.shared import slice_count, staged, words_in
@@ -129,17 +129,21 @@ def mixed_shard(shard: pd.DataFrame, block: int, most: int, seed: int) -> pd.Dat
     extra = np.array([sum(r["last"] - r["first"] for r in rs) for rs in ranges], np.int64)
     taken = copies * size + extra
     return shard.assign(taken=taken, copies=copies, ranges=ranges)[
-        ["row", "doc_id", "size", "source_size", "target", "taken", "copies", "ranges"]]
+        ["row", "doc_id", "spread", "size", "source_size", "target", "taken", "copies", "ranges"]]
 
 
-MIXED = ("row long, doc_id string, size long, source_size long, target double, taken long, copies long, "
+MIXED = ("row long, doc_id string, spread long, size long, source_size long, target double, taken long, copies long, "
          "ranges array<struct<first long, last long>>")
 
 
+def _spread(id_col: str, text_col: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), id_col, text_col)
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK_WORDS,
           rows_per_shard: int = ROWS_PER_SHARD, seed: int = SEED) -> DataFrame:
-    """What the mix takes of each row: doc_id, size, source_size, target, taken, copies, ranges.
+    """What the mix takes of each row: row, doc_id, spread, size, source_size, target, taken, copies, ranges.
 
     ``size`` is the number of words; ``taken`` counts repeats, as ``copies`` times the whole text plus
     the word ranges [first, last) in ``ranges``. NULL is a source of its own, after all others. A
@@ -150,7 +154,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = staged(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                     F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size"),
-                    F.xxhash64(F.lit(seed), id_col, text_col).alias("spread")), "sizes")
+                    _spread(id_col, text_col, seed).alias("spread")), "sizes")
     shares = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     shares = staged(shares.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("source")))),
                     "targets")
@@ -164,3 +168,43 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return dealt.groupBy("shard").applyInPandas(
         lambda shard: mixed_shard(shard, block, most, seed), MIXED,
     ).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        length_col: str | None = "n_chars", seed: int = SEED, **options: int) -> DataFrame:
+    """The mix itself, with the columns of ``docs``.
+
+    A document appears once per whole copy, and once more with the words of its ranges, joined by
+    one space, where a part of it is taken; ``length_col``, if there is one, is set for that part.
+    """
+    key = ["__none", "__known", "__spread"]
+    taken = (
+        mixed(docs, id_col, text_col, source_col, seed=seed, **options).filter("taken > 0")
+        .groupBy(F.isnull("doc_id").alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__known"),
+                 F.col("spread").alias("__spread"))
+        .agg(F.array_sort(F.collect_list(F.struct("copies", "ranges", "row"))).alias("__taken"))
+    )
+    rows = (
+        docs.withColumns({"__none": F.isnull(id_col), "__known": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+                          "__spread": _spread(id_col, text_col, seed)})
+        .join(taken, key)
+        # Rows that agree in id and text share a list of decisions, and each takes its own.
+        .withColumn("__own", F.get("__taken", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))) - 1))
+        .filter("__own is not null")
+    )
+    words = F.regexp_extract_all(text_col, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.flatten(F.transform(
+        "__own.ranges", lambda r: F.slice(F.col("__words"), (r["first"] + 1).cast("int"),
+                                          (r["last"] - r["first"]).cast("int")))), " ")
+    some = F.size("__own.ranges") > 0
+    out = (
+        rows.withColumn("__words", F.when(some, words)).withColumn("__part", F.when(some, part))
+        .withColumn("__text", F.explode(F.concat(
+            F.array_repeat(F.struct(F.lit(False).alias("cut"), F.col(text_col).alias("text")), F.col("__own.copies").cast("int")),
+            F.when(some, F.array(F.struct(F.lit(True).alias("cut"), F.col("__part").alias("text")))).otherwise(F.array()))))
+        .withColumn(text_col, F.col("__text.text"))
+    )
+    if length_col in docs.columns:
+        kind = docs.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(F.col("__text.cut"), F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return out.select(docs.columns)
