@@ -99,18 +99,22 @@ _FOUND_FILE = "path string, modificationTime timestamp, length long, content bin
 
 
 def discovered(
-    spark: SparkSession, landing: str, max_files: int = C.MAX_FILES_PER_TRIGGER
+    spark: SparkSession,
+    landing: str,
+    max_files: int = C.MAX_FILES_PER_TRIGGER,
+    pattern: str | None = None,
 ) -> DataFrame:
-    """A stream of the paths of CSV files under ``landing``, each delivered once.
+    """A stream of the paths of the files under ``landing``, each delivered once.
 
-    Only paths are selected, so file contents are not loaded. Folders whose name starts with an
-    underscore, such as checkpoints kept below the landing folder, are skipped.
+    All files count, whatever their suffix, compressed ones too; ``pattern`` (a glob on the file
+    name) restricts them. Only paths are selected, so file contents are not loaded. Files and folders
+    whose name starts with an underscore or a dot, such as checkpoints, are skipped.
     """
+    reader = spark.readStream.format("binaryFile").schema(_FOUND_FILE)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
     return (
-        spark.readStream.format("binaryFile")
-        .schema(_FOUND_FILE)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
+        reader.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
         .select("path")

@@ -1,5 +1,6 @@
 """The CSV feed: binding by name, rescue, lineage, strict dates."""
 
+import gzip
 import json
 import os
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry import contracts as C
 from basketry.functions import dates, measures as M, text
 from basketry.plans import bronze, silver
-from basketry.sources import sales_csv
+from basketry.sources import sales_csv, tables
 from basketry.streaming import ingest
 
 HEADERS = [header for header, _, _ in C.RAW_FIELDS]
@@ -146,3 +147,14 @@ def test_column_contracts(spark):
     assert len(orders.columns) == 29
     assert dict(orders.dtypes)["order_year"] == "string"
     assert len(silver.quarantine(base, complete=False).columns) == 12
+
+
+def test_files_of_any_name_are_loaded(spark, folder):
+    landing = f"{folder}/landing"
+    for number, name in enumerate(("1.csv", "2.CSV", "4.txt", "5")):
+        write(landing, name, [{**SAMPLE, "Order ID": f"O-{number}"}])
+    with open(f"{landing}/1.csv", "rb") as plain, gzip.open(f"{landing}/3.csv.gz", "wb") as packed:
+        packed.write(plain.read().replace(b"O-0", b"O-9"))
+    ingest.load(spark, landing, f"{folder}/table", f"{folder}/check")
+    stored = tables.batches(spark, f"{folder}/table", sales_csv.feed_with_lineage_schema())
+    assert sorted(r.order_id for r in stored.collect()) == ["O-0", "O-1", "O-2", "O-3", "O-9"]
