@@ -3,6 +3,8 @@
 Money arrives as ``double``. Adding doubles gives a total that depends on the order in which tasks
 finish, and after rounding that shows in the result. The totals here are added as decimals, so they
 are the same for every partitioning and every retry, and turned back into ``double`` at the end.
+A group with a value that no such decimal holds (NaN, an infinity, 10^18 or more) is added as doubles,
+as plain ``sum`` does, so that the value shows instead of vanishing.
 """
 
 from __future__ import annotations
@@ -13,8 +15,14 @@ from pyspark.sql import Column, functions as F
 EXACT = "decimal(24,6)"
 
 
+LIMIT = 1e18
+
+
 def exact_sum(name: str) -> Column:
-    return F.sum(F.col(name).cast(EXACT)).cast("double")
+    value = F.col(name).cast("double")
+    fits = (F.abs(value) < LIMIT) & ~F.isnan(value)
+    exact = F.sum(F.when(fits, value).cast(EXACT)).cast("double")
+    return F.when(F.count_if(~fits) > 0, F.sum(value)).otherwise(exact)
 
 
 def total(name: str, digits: int = 2) -> Column:
