@@ -5,9 +5,10 @@ before the shuffle, so each map task sends at most one row per key and a key tha
 all rows costs its reducer one row per map task. Ordering by every column makes the choice the same
 for every partitioning.
 
-Stream: ``dropDuplicates`` keeps the first row seen. Its shuffle has no map-side reduction, so a hot
-key would send all of its rows to one task; a first pass keyed by (key, salt) spreads them and lets
-at most one row per salt through to the second.
+Stream: ``dropDuplicates`` keeps the first row seen, with one state row per key. Its shuffle has no
+map-side reduction, so a hot key sends all of its rows to one task. Where one key may hold a large
+share of a trigger, ``salts`` adds a first pass keyed by (key, salt), which spreads them and lets at
+most one row per salt through; it doubles shuffle and state of all other keys, so it is off by default.
 """
 
 from __future__ import annotations
@@ -44,11 +45,11 @@ def _salt(salts: int) -> Column:
     return F.pmod(F.floor(F.rand() * salts).cast("int"), F.lit(salts))
 
 
-def stream_first_seen(df: DataFrame, keys: Sequence[str], salts: int = 16) -> DataFrame:
+def stream_first_seen(df: DataFrame, keys: Sequence[str], salts: int = 1) -> DataFrame:
     """First row seen per key, over the whole life of the stream.
 
-    State holds every key seen (and, for hot keys, up to ``salts`` extra entries in the first pass),
-    so it grows with the number of keys, not of rows. ``salts=1`` skips the first pass.
+    State holds every key seen, so it grows with the number of keys, not of rows. ``salts`` above 1
+    adds the first pass, with up to ``salts`` more entries per key.
     """
     if salts > 1:
         df = df.withColumn(_SALT, _salt(salts)).dropDuplicates([*keys, _SALT]).drop(_SALT)
@@ -56,7 +57,7 @@ def stream_first_seen(df: DataFrame, keys: Sequence[str], salts: int = 16) -> Da
 
 
 def stream_first_seen_within(
-    df: DataFrame, keys: Sequence[str], event_time: str, horizon: str, salts: int = 16
+    df: DataFrame, keys: Sequence[str], event_time: str, horizon: str, salts: int = 1
 ) -> DataFrame:
     """First row per key within ``horizon`` of event time; a key may reappear after it.
 

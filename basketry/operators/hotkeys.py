@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from basketry.session import ROWS_PER_TASK
 
@@ -42,8 +42,11 @@ def split_points(
     """Ascending split points of ``order`` for every key with more than ``rows_per_task`` rows.
 
     Both passes combine before their shuffle. For N rows the result has at most N / rows_per_task
-    keys and twice as many points in all, which is what makes it safe to broadcast.
+    keys and twice as many points in all, which is what makes it safe to broadcast. ``order`` must be a
+    number, a date or a time: text has no quantiles.
     """
+    if isinstance(df.schema[order].dataType, T.StringType):
+        raise ValueError(f"{order} is text; give the order as a number, a date or a time")
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))

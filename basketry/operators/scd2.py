@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketry.contracts import END_AT, FILE_MODIFIED, INGESTED_AT, SOURCE_FILE, START_AT
 from basketry.operators import hotkeys as H
 from basketry.operators.dedup import latest_per_key
-from basketry.session import ROWS_PER_TASK
+from basketry.session import ROWS_PER_TASK, staged
 
 AUDIT_COLUMNS = (SOURCE_FILE, INGESTED_AT, FILE_MODIFIED)
+# Of rows with the same key and sequence, those of the later file count.
+LATER_FILE = (FILE_MODIFIED, SOURCE_FILE)
 
 
 def tracked_columns(keys: Sequence[str], columns: Sequence[str]) -> list[str]:
@@ -27,17 +29,27 @@ def tracked_columns(keys: Sequence[str], columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in keys and c not in AUDIT_COLUMNS]
 
 
+def present(log: DataFrame, tiebreak: Sequence[str]) -> list[str]:
+    return [c for c in tiebreak if c in log.columns]
+
+
 def observations(
-    log: DataFrame, keys: Sequence[str], sequence_by: str, columns: Sequence[str]
+    log: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    columns: Sequence[str],
+    tiebreak: Sequence[str] = LATER_FILE,
 ) -> DataFrame:
-    """One row per key and sequence value; rows without a sequence are left out.
+    """One row per key and sequence value; rows without a key or a sequence are left out.
 
-    Of rows that tie, the greatest by all stored columns counts. The choice is made before the
-    shuffle as well, so a feed that repeats a key many times per sequence shrinks first.
+    Of rows that tie, the last by ``tiebreak`` counts (columns the log lacks are passed over), then
+    the greatest by all stored columns. The choice is made before the shuffle as well, so a feed
+    that repeats a key many times per sequence shrinks first.
     """
-    wanted = list(dict.fromkeys([*keys, *columns, sequence_by]))
-    rows = log.select(*wanted).filter(F.col(sequence_by).isNotNull())
-    return latest_per_key(rows, [*keys, sequence_by], [])
+    ties = present(log, tiebreak)
+    wanted = list(dict.fromkeys([*keys, *columns, sequence_by, *ties]))
+    rows = log.select(*wanted).dropna(subset=[*keys, sequence_by])
+    return latest_per_key(rows, [*keys, sequence_by], [c for c in ties if c != sequence_by])
 
 
 def versions(
@@ -54,7 +66,7 @@ def versions(
     track = list(track) if track is not None else tracked_columns(keys, columns)
     state = F.struct(*track)
 
-    known = log.filter(F.col(sequence_by).isNotNull())
+    known = log.dropna(subset=[*keys, sequence_by])
     points = H.split_points(known, keys, sequence_by, rows_per_task, max_slices)
     rows = H.sliced(
         observations(log, keys, sequence_by, columns), keys, sequence_by, points, max_slices
@@ -93,9 +105,10 @@ def latest_state(
 ) -> DataFrame:
     """Attributes of each key's last feed row: the tracked columns of ``current(versions(...))``
     without building the history. At most one row per key and map task is shuffled."""
-    rows = log.select(*dict.fromkeys([*keys, *columns, sequence_by]))
-    rows = rows.filter(F.col(sequence_by).isNotNull())
-    return latest_per_key(rows, keys, [sequence_by]).select(*columns)
+    ties = [c for c in present(log, LATER_FILE) if c != sequence_by]
+    rows = log.select(*dict.fromkeys([*keys, *columns, sequence_by, *ties]))
+    rows = rows.dropna(subset=[*keys, sequence_by])
+    return latest_per_key(rows, keys, [sequence_by, *ties]).select(*columns)
 
 
 def as_of_join(
@@ -109,25 +122,22 @@ def as_of_join(
 ) -> DataFrame:
     """Each fact with ``attributes`` of the version valid at its time ``at``; NULLs if there is none.
 
-    Facts and versions are merged in time order and the last version is carried forward. That costs
-    a sort, where an equality join with a range condition would compare every fact of a key with
-    every version of it.
+    The times at which a key has facts are merged with its versions in time order, and the last
+    version is carried forward. That costs a sort, where an equality join with a range condition would
+    compare every fact of a key with every version of it. Each key and time is looked up once,
+    however many facts it has; facts get the answer by an equality join, which splits hot keys.
+    The merged rows are stored first, so the history is worked out once.
     """
     keys = list(keys)
     names = [*attributes, START_AT, END_AT]
-    fact_rows = facts.select(
-        *keys,
-        F.col(at).alias("_at"),
-        F.lit(1).alias("_kind"),
-        F.struct(*facts.columns).alias("_fact"),
-    )
+    fact_rows = facts.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind")).distinct()
     version_rows = history.select(
         *keys,
         F.col(START_AT).alias("_at"),
         F.lit(0).alias("_kind"),
         F.struct(*names).alias("_version"),
     )
-    merged = fact_rows.unionByName(version_rows, allowMissingColumns=True)
+    merged = staged(fact_rows.unionByName(version_rows, allowMissingColumns=True), "as-of")
     points = H.split_points(merged, keys, "_at", rows_per_task, max_slices)
     rows = H.sliced(merged, keys, "_at", points, max_slices)
 
@@ -148,8 +158,7 @@ def as_of_join(
     )
     found = F.coalesce("_seen", "_carried")
     valid = found[END_AT].isNull() | (F.col("_at") < found[END_AT])
-    return (
-        rows.filter(F.col("_kind") == 1)
-        .select("_fact", F.when(valid, found).alias("_found"))
-        .select("_fact.*", *[F.col("_found")[n].alias(n) for n in names])
-    )
+    answers = rows.filter((F.col("_kind") == 1) & F.when(valid, found).isNotNull()).select(
+        *keys, F.col("_at").alias(at), found.alias("_found"))
+    joined = H.match_null_safe(facts, answers, [*keys, at])
+    return joined.select(*facts.columns, *[F.col("_found")[n].alias(n) for n in names])

@@ -15,11 +15,6 @@ FACT_FROM_PRODUCT = ["product_name", "category_of_goods", "sub_category"]
 FACT_FROM_DATE = ["year_month", "quarter_label", "is_weekend"]
 
 
-def current_versions(dim: DataFrame) -> DataFrame:
-    """The open version of each key."""
-    return dim.filter(F.col(C.END_AT).isNull())
-
-
 def star_join(
     orders: DataFrame,
     customers: DataFrame,

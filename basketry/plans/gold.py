@@ -15,12 +15,15 @@ CUSTOMER_KEY, PRODUCT_KEY = ["customer_id"], ["product_id"]
 
 def customer_feed(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
     """Change feed of the customer dimension: every valid cleansed row, not only the first per
-    customer, as otherwise no change could ever arrive."""
-    return Q.keep(silver.customer_rows(bronze), R.customer_rules(as_of))
+    customer, as otherwise no change could ever arrive. The time of the file is kept, if known, to
+    tell which of two rows of one ingestion is the later."""
+    rows = silver.customer_rows(bronze, *scd2.present(bronze, [C.FILE_MODIFIED]))
+    return Q.keep(rows, R.customer_rules(as_of))
 
 
 def product_feed(bronze: DataFrame) -> DataFrame:
-    return Q.keep(silver.product_rows(bronze), R.PRODUCT_RULES)
+    rows = silver.product_rows(bronze, *scd2.present(bronze, [C.FILE_MODIFIED]))
+    return Q.keep(rows, R.PRODUCT_RULES)
 
 
 def dim_customer(feed: DataFrame, sequence_by: str = C.INGESTED_AT, **split) -> DataFrame:

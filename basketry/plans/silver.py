@@ -13,8 +13,8 @@ from basketry.plans import rules as R
 AUDIT = [C.INGESTED_AT, C.SOURCE_FILE]
 
 
-def customer_rows(bronze: DataFrame) -> DataFrame:
-    """Cleansed customer attributes of every sale."""
+def customer_rows(bronze: DataFrame, *extra: str) -> DataFrame:
+    """Cleansed customer attributes of every sale; ``extra`` columns pass through unchanged."""
     return bronze.select(
         *[text.trimmed(n) for n in ("customer_id", "first_name", "last_name")],
         text.joined("first_name", "last_name").alias("full_name"),
@@ -22,13 +22,14 @@ def customer_rows(bronze: DataFrame) -> DataFrame:
         text.trimmed_upper("segment").alias("segment"),
         *[text.trimmed(n) for n in ("city_type", "region", "outlet_type", "state", "country")],
         *AUDIT,
+        *extra,
     )
 
 
-def product_rows(bronze: DataFrame) -> DataFrame:
-    """Cleansed product attributes of every sale."""
+def product_rows(bronze: DataFrame, *extra: str) -> DataFrame:
+    """Cleansed product attributes of every sale; ``extra`` columns pass through unchanged."""
     names = ("product_id", "product_name", "sub_category", "category_of_goods")
-    return bronze.select(*[text.trimmed(n) for n in names], *AUDIT)
+    return bronze.select(*[text.trimmed(n) for n in names], *AUDIT, *extra)
 
 
 def order_rows(bronze: DataFrame, *extra: str) -> DataFrame:

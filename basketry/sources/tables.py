@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketry.contracts import TableInfo
@@ -41,6 +42,24 @@ def publish(df: DataFrame, name: str, path: str, info: TableInfo) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{info.quality}')")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Make the folder of a table without rows, unless it is there.
+
+    What is written has a name that Spark's readers skip, so it suits every partitioning.
+    """
+    spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(f"{path}/_created")
+
+
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
 ) -> None:

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from basketry.contracts import END_AT, START_AT
 from basketry.operators import scd2
-from basketry.session import staged
 from basketry.sources import tables
 
 # Greatest sequence seen of a key, kept with its open version.
 LAST_SEEN = "_last_seen"
+_DONE = T.StructType([T.StructField("done", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -48,11 +48,16 @@ class History:
     def _commits(self) -> str:
         return f"{self.root}/commits"
 
+    @property
+    def _touched(self) -> str:
+        return f"{self.root}/touched"
+
     def _slot(self, batch_id: int) -> str:
         return f"{self.root}/versions/slot={batch_id % 2}"
 
     def _stored(self) -> list[str]:
-        return list(dict.fromkeys([*self.keys, *self.columns, self.sequence_by]))
+        ties = [c for c in scd2.LATER_FILE if c in self.schema.names]
+        return list(dict.fromkeys([*self.keys, *self.columns, self.sequence_by, *ties]))
 
     def _log_schema(self) -> T.StructType:
         return T.StructType([self.schema[name] for name in self._stored()])
@@ -71,6 +76,11 @@ class History:
             rows, self.keys, self.sequence_by, self.columns, self.track, **self.split
         )
 
+    def create(self, spark: SparkSession) -> None:
+        """An empty history, unless there is one."""
+        tables.create(spark, self._log, self._log_schema())
+        tables.create(spark, self._commits, _DONE)
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Add a batch of feed rows; use as the function of ``foreachBatch``.
 
@@ -91,7 +101,7 @@ class History:
         still_open = before.filter(F.col(END_AT).isNull())
 
         # One row per key of the batch: is any of it late, and how far does the key now reach?
-        touched = staged(
+        joined = (
             new.groupBy(*keys)
             .agg(F.min(at).alias("_first"), F.max(at).alias("_newest"))
             .join(still_open.select(*keys, LAST_SEEN), keys, "left")
@@ -99,15 +109,18 @@ class History:
                 *keys,
                 F.coalesce(F.col("_first") <= F.col(LAST_SEEN), F.lit(False)).alias("_late"),
                 F.greatest("_newest", LAST_SEEN).alias("_reach"),
-            ),
-            "touched-keys",
+            )
         )
+        # Stored beside the history, in one place that every batch replaces.
+        tables.refresh(joined, self._touched)
+        touched = tables.snapshot(spark, self._touched, joined.schema)
         late = touched.filter("_late").select(*keys)
         in_order = touched.filter("NOT _late").select(*keys)
 
         opened = still_open.join(in_order, keys, "left_semi").withColumn(at, F.col(START_AT))
-        forward = opened.select(*self._stored()).unionByName(
-            new.join(in_order, keys, "left_semi").select(*self._stored())
+        # What is open came before the new rows, so it needs no time of its file.
+        forward = new.join(in_order, keys, "left_semi").select(*self._stored()).unionByName(
+            opened.select(*scd2.present(opened, self._stored())), allowMissingColumns=True
         )
         backward = log.join(late, keys, "left_semi").select(*self._stored())
         changed = (
@@ -131,5 +144,7 @@ class History:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The history as of the last finished batch."""
-        last = tables.snapshot(spark, self._commits).agg(F.max("done")).first()[0]
+        last = tables.batches(spark, self._commits, _DONE).agg(F.max("done")).first()[0]
+        if last is None:
+            return spark.createDataFrame([], self._version_schema()).drop(LAST_SEEN)
         return tables.snapshot(spark, self._slot(last), self._version_schema()).drop(LAST_SEEN)

@@ -55,7 +55,8 @@ class Lakehouse:
         if table in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             return self.history(spark, table).read(spark)
         stored = self.stored_schema(spark, table)
-        return tables.snapshot(spark, self.path(table), stored)
+        rows = tables.snapshot(spark, self.path(table), stored)
+        return rows.orderBy(*kpi.PRESENTATION_ORDER[table]) if table in kpi.PRESENTATION_ORDER else rows
 
     def stored_schema(self, spark: SparkSession, table: str) -> T.StructType | None:
         """Schema of the silver tables and the fact. Text partition columns make it necessary: Spark
@@ -67,6 +68,8 @@ class Lakehouse:
             return silver.product_rows(empty).schema
         if table == C.SILVER_ORDERS:
             return silver.with_order_period(silver.order_rows(empty)).schema
+        if table == C.SILVER_QUARANTINE:
+            return silver.quarantine(empty).schema
         if table == C.FACT_SALES:
             return self._fact(spark, self._no_orders(spark)).schema
         return None
@@ -81,13 +84,34 @@ class Lakehouse:
 
     # -- running -----------------------------------------------------------------------------
     def run(self, spark: SparkSession, ingested_at: Column | None = None) -> None:
-        """Bring every table up to date with the landing folder."""
+        """Bring every table up to date with the landing folder, which may be empty."""
+        self.prepare(spark)
         self.run_bronze(spark, ingested_at)
         self.run_silver(spark)
         self.run_dimensions(spark)
         self.run_fact(spark)
         self.run_kpis(spark)
 
+    def prepare(self, spark: SparkSession) -> None:
+        """Make the tables that do not exist yet, without rows, so that every step finds its input even
+        before the first row has come as far."""
+        empty_ones = {
+            C.BRONZE_SALES: ingest.bronze_schema(),
+            C.BRONZE_QUARANTINE: ingest.quarantine_schema(),
+            C.SILVER_CUSTOMERS: self.stored_schema(spark, C.SILVER_CUSTOMERS),
+            C.SILVER_PRODUCTS: self.stored_schema(spark, C.SILVER_PRODUCTS),
+            C.SILVER_ORDERS: self.stored_schema(spark, C.SILVER_ORDERS),
+            C.SILVER_QUARANTINE: self.stored_schema(spark, C.SILVER_QUARANTINE),
+        }
+        for name, schema in empty_ones.items():
+            tables.create(spark, self.path(name), schema)
+        for name in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
+            self.history(spark, name).create(spark)
+        if not tables.exists(spark, self.path(C.DIM_DATE)):
+            tables.refresh(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
+        # The schema of the fact comes from the dimensions, so they are made before it.
+        tables.create(spark, self.path(C.FACT_SALES), self.stored_schema(spark, C.FACT_SALES))
+
     def run_bronze(self, spark: SparkSession, ingested_at: Column | None = None) -> None:
         ingest.ingest(
             spark, self.landing, self.root, self.checkpoint(C.BRONZE_SALES), self.max_files,

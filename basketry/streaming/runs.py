@@ -43,10 +43,17 @@ def start_append(
 
 
 def finish(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
-    """Wait for queries that run side by side; the first failure is raised."""
+    """Wait for queries that run side by side. As soon as one fails, the others are stopped and the
+    failure is raised."""
     queries = list(queries)
-    for query in queries:
-        query.awaitTermination()
+    waiting = list(queries)
+    try:
+        while waiting:
+            waiting = [q for q in waiting if not q.awaitTermination(0.2)]
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
     return queries
 
 
@@ -61,6 +68,3 @@ def append(
 ) -> StreamingQuery:
     return finish([start_append(stream, checkpoint, path, partition_by)])[0]
 
-
-def rows_read(query: StreamingQuery) -> int:
-    return sum(progress.numInputRows for progress in query.recentProgress)

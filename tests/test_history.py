@@ -5,7 +5,10 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from basketry.operators import dedup, ranking, scd2
+from pyspark.sql import functions as F
+
+from basketry.contracts import FILE_MODIFIED, SOURCE_FILE
+from basketry.operators import dedup, hotkeys as H, ranking, scd2
 
 SCHEMA = "k string, t int, a string, note string"
 COLUMNS = ["k", "a"]
@@ -138,3 +141,36 @@ def test_latest_state_equals_current_version(spark):
     state = {tuple(r) for r in scd2.latest_state(frame, ["k"], "t", COLUMNS).collect()}
     versions = scd2.current(scd2.versions(frame, ["k"], "t", COLUMNS)).select(*COLUMNS)
     assert state == {tuple(r) for r in versions.collect()}
+
+
+def test_of_tied_rows_the_later_file_counts(spark):
+    rows = [("p", 1, "West", "a.csv", "2026-01-02"), ("p", 1, "East", "b.csv", "2026-01-01"),
+            ("q", 1, "West", "a.csv", "2026-01-01"), ("q", 1, "East", "b.csv", "2026-01-01")]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(
+            order, "k string, t int, a string, _source_file string, m string"
+        ).withColumn("_file_modified", F.col("m").cast("timestamp")).withColumnRenamed(
+            "_file_modified", FILE_MODIFIED).withColumnRenamed("_source_file", SOURCE_FILE)
+        got = scd2.versions(frame, ["k"], "t", COLUMNS).collect()
+        assert sorted((r["k"], r["a"]) for r in got) == [("p", "West"), ("q", "East")]
+        state = scd2.latest_state(frame, ["k"], "t", COLUMNS).collect()
+        assert sorted((r["k"], r["a"]) for r in state) == [("p", "West"), ("q", "East")]
+
+
+def test_rows_without_a_key_have_no_history(spark):
+    rows = [(None, 1, "x", "n"), ("p", 1, "x", "n")]
+    assert [r[0] for r in history(spark, rows)] == ["p"]
+
+
+def test_text_gives_no_order_to_slice_by(spark):
+    frame = spark.createDataFrame([("p", "1")], "k string, t string")
+    with pytest.raises(ValueError, match="is text"):
+        H.split_points(frame, ["k"], "t")
+
+
+def test_as_of_join_of_many_facts_at_few_times(spark):
+    facts = spark.range(3000).selectExpr("id", "'p' as k", "cast(id % 3 as int) as at")
+    dim = spark.createDataFrame([("p", "x", 0, 2), ("p", "y", 2, None)],
+                                "k string, a string, __START_AT int, __END_AT int")
+    got = scd2.as_of_join(facts, dim, ["k"], "at", ["a"], rows_per_task=100)
+    assert {(r["a"], r["count"]) for r in got.groupBy("a").count().collect()} == {("x", 2000), ("y", 1000)}

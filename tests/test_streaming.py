@@ -1,5 +1,6 @@
 """Streams: triggered runs over all layers, deduplication modes, late rows, incremental history."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -222,3 +223,34 @@ def test_published_table_carries_comment_and_properties(spark, folder):
     assert "quality=gold" in described["Table Properties"]
     assert spark.table("fact_published").filter("order_year = '2020'").count() == 3
     spark.sql("DROP TABLE fact_published")
+
+
+def test_an_empty_landing_folder_then_a_file(spark, folder):
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables")
+    os.makedirs(house.landing)
+    house.run(spark, _at(0))
+    counts = {t: house.read(spark, t).count() for t in C.TABLES}
+    assert counts.pop(C.DIM_DATE) == 4018 and not any(counts.values())
+    write(house.landing, "1.csv", [_order(1), _order(2)])
+    house.run(spark, _at(1))
+    assert house.read(spark, C.FACT_SALES).count() == 2
+    assert house.read(spark, C.DIM_CUSTOMER).count() == 1
+
+
+def test_a_first_file_with_rejected_rows_only(spark, folder):
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables")
+    write(house.landing, "1.csv", [_order(1, Sales="-1")])
+    house.run(spark, _at(0))
+    assert house.read(spark, C.FACT_SALES).count() == 0
+    write(house.landing, "2.csv", [_order(2)])
+    house.run(spark, _at(1))
+    assert house.read(spark, C.FACT_SALES).count() == 1
+
+
+def test_one_state_row_per_key(spark, folder):
+    source = f"{folder}/in"
+    spark.range(100).selectExpr("id % 40 as k").write.parquet(source)
+    stream = dedup.stream_first_seen(tables.changes(spark, source, "k long"), ["k"])
+    query = runs.append(stream, f"{folder}/check", f"{folder}/out")
+    state = [s["numRowsTotal"] for p in query.recentProgress[-1:] for s in p["stateOperators"]]
+    assert state == [40]
