@@ -339,6 +339,10 @@ def _scd(rows: str, key: str, columns: str) -> str:
 SELECTS: dict[str, str] = {
     # sources and sinks
     "src_csv_incremental": f"select {_FEED} from raw",
+    "src_file_metadata": """
+        select case when l_returnflag = 'R' then 'second' else 'first' end as folder,
+               count(*) as n, true as time_is_set
+        from raw group by 1""",
     "src_csv_header_by_name": f"select {_FEED} from raw",
     "src_explicit_schema": "select order_id, year, postal_code, quantity, sales, discount, profit "
                            "from raw",

@@ -112,7 +112,7 @@ def _landing(spark, sf_dir) -> str:
     """The feed as CSV files in two folders that differ in the order of their columns."""
     folder = scratch_folder(spark, "landing")
     rows = raw_sales(spark, sf_dir)
-    flagged = F.col("l_returnflag") == "R"
+    flagged = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
     _write_csv(_with_headers(rows.filter(~flagged)), f"{folder}/first")
     moved = _with_headers(rows.filter(flagged))
     _write_csv(moved.select(*reversed(moved.columns)), f"{folder}/second")
@@ -148,8 +148,21 @@ def _loaded(spark, landing) -> DataFrame:
 
 @registered
 def src_csv_incremental(spark, sf_dir):
-    """Three runs over the same landing folder deliver every row once."""
-    return _ingested(spark, sf_dir, passes=3).drop("side")
+    """Files that arrive between two runs, the second lot compressed; a third run finds nothing new."""
+    landing, root = scratch_folder(spark, "landing"), scratch_folder(spark, "tables")
+    rows = staged(raw_sales(spark, sf_dir), "feed")
+    flagged = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+    for part, codec in ((~flagged, "none"), (flagged, "gzip"), (None, None)):
+        if codec:
+            writer = _with_headers(rows.filter(part)).write.option("header", True).option("compression", codec)
+            writer.csv(f"{landing}/{codec}")
+        ingest.ingest(
+            spark, landing, root, f"{root}/_checkpoints/ingest",
+            ingested_at=F.lit(INGESTED).cast("timestamp"),
+        )
+    good = tables.batches(spark, f"{root}/{C.BRONZE_SALES}", ingest.bronze_schema())
+    bad = tables.batches(spark, f"{root}/{C.BRONZE_QUARANTINE}", ingest.quarantine_schema())
+    return good.select(*C.FEED_COLUMNS).unionByName(bad.select(*C.FEED_COLUMNS))
 
 
 @registered
@@ -196,7 +209,9 @@ def src_trigger_available_now(spark, sf_dir):
 @registered
 def src_file_metadata(spark, sf_dir):
     rows = _loaded(spark, _landing(spark, sf_dir))
-    return rows.groupBy(C.SOURCE_FILE, C.FILE_MODIFIED).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(F.regexp_extract(C.SOURCE_FILE, "/([^/]*)/[^/]*$", 1).alias("folder")).agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col(C.FILE_MODIFIED).isNotNull()).alias("time_is_set")
+    )
 
 
 @registered
