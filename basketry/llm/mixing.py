@@ -83,12 +83,15 @@ def apportioned(votes: np.ndarray, seats: int) -> np.ndarray:
 
 
 def taken_blocks(words: int, seats: int, block: int, most: int, seed: list[int]) -> np.ndarray:
-    """How often each block of a line of ``words`` words is taken."""
+    """How often each block of a line of ``words`` words is taken; the last block may be shorter.
+
+    The line is taken whole as often as the words of the seats allow; the seed picks blocks for the rest.
+    """
     blocks = -(-words // block)
-    seats = min(seats, most * blocks)
-    times = np.full(blocks, seats // blocks if blocks else 0)
-    if blocks:
-        times[np.random.default_rng(seed).permutation(blocks)[:seats % blocks]] += 1
+    whole = min(most, seats * block // words) if words else 0
+    times = np.full(blocks, whole)
+    if words and whole < most:
+        times[np.random.default_rng(seed).permutation(blocks)[:round((seats * block - whole * words) / block)]] += 1
     return times
 
 
