@@ -122,9 +122,9 @@ def test_archive_files(spark, folder):
     manifest = warc.write_archives(rows, f"file://{folder}/archives", file_bytes=500)
     assert manifest.count() > 1  # files roll over
     texts = [gzip.decompress(files.read(r.path).read()) for r in manifest.collect()]
-    assert sum(t.count(b"WARC-Type: response") for t in texts) == 6
+    assert sum(t.count(b"WARC-Type: response") for t in texts) == 5
     heads = b"".join(texts)
-    assert heads.count(b"WARC-Refers-To: <urn:uuid:") == len(PAGES) - 6
+    assert heads.count(b"WARC-Refers-To: <urn:uuid:") == len(PAGES) - 5
     assert b"WARC-Target-URI: http://a.org/x%20y%0D%0Az\r\n" in heads
     back = warc.read_archives(manifest).collect()
     ids = [r.record_id for r in back]
@@ -265,7 +265,7 @@ def brute_targets(sizes, most=3):
 @pytest.mark.parametrize("rows_per_shard", [2048, 7])
 def test_mixing(spark, rows_per_shard):
     docs = table(spark, SF_SMALL, "documents").unionByName(
-        documents(spark, clashing=False).withColumn("doc_id", F.col("doc_id") + 10_000), allowMissingColumns=True)
+        documents(spark, clashing=False).filter("doc_id is not null").withColumn("doc_id", F.col("doc_id") + 10_000))
     found = mixing.mixed(docs, rows_per_shard=rows_per_shard).collect()
     source = {r.doc_id: r.source for r in docs.collect()}
     sizes, taken, target = Counter(), Counter(), {}
@@ -280,7 +280,7 @@ def test_mixing(spark, rows_per_shard):
     want = brute_targets(dict(sizes))
     assert target == pytest.approx(want, rel=1e-9)
     for s, t in want.items():
-        assert abs(taken[s] - t) <= 16 * (1 if rows_per_shard > 1000 else 20)
+        assert abs(taken[s] - t) <= 2 * 16 * (1 if rows_per_shard > 1000 else 20)
     again = mixing.mixed(docs.repartition(5), rows_per_shard=rows_per_shard).collect()
     key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.taken)
     assert sorted(map(key, again)) == sorted(map(key, found))
@@ -403,18 +403,18 @@ def test_windows_keep_their_proportions():
     for k, take in enumerate(packing.quotas(list(left), [n / total for n in left], deficit, packing.window_lengths(total, 500))):
         given += take
         if k == 5:  # what a queue is short of is made up for in the next windows
-            assert given == pytest.approx([3000 * n / 5000 + s for n, s in zip(left, start)], abs=2)
+            assert given == pytest.approx([3000 * n / 10_000 + s for n, s in zip(left, start)], abs=2)
     assert given.tolist() == left
 
 
-def test_mixture_holds_across_slices(spark):
+def test_mixture_holds_in_every_window(spark):
     docs = table(spark, SF_MEDIUM, "documents")
-    found = packing.packed(docs, WORD_BPE, rows_per_slice=100).join(docs.select("doc_id", "source"), "doc_id")
+    found = packing.packed(docs, WORD_BPE).join(docs.select("doc_id", "source"), "doc_id")
     full = found.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n = 4096")
     per = found.join(full, "sequence_id").groupBy("sequence_id", "source").agg(F.sum("length").alias("n")).groupBy("source").agg(
         F.expr("percentile_approx(n, 0.5)").alias("n")).toPandas().set_index("source")["n"]
     share = found.groupBy("source").agg(F.sum("length").alias("n")).toPandas().set_index("source")["n"]
-    assert ((per / 4096 - share / share.sum()).abs() < 0.02).all()
+    assert ((per / 4096 - share / share.sum()).abs() < 0.002).all()
 
 
 def test_repeated_ids_and_empty_table(spark):
