@@ -48,7 +48,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not root:
         root = spark.conf.get("basketry.scratch.dir", None)
     if not root:
-        if not re.match(r"local(\[[^,]*\])?$", spark.conf.get("spark.master", "none")):
+        if not re.match(r"local(\[.*\])?$", spark.conf.get("spark.master", "none")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="basketry-")
         spark.conf.set("basketry.scratch.dir", root)
