@@ -22,16 +22,6 @@ def product_rows(bronze: DataFrame) -> DataFrame:
     return Q.keep(rows, R.PRODUCT_RULES)
 
 
-def customers(bronze: DataFrame, as_of: str | None = None) -> DataFrame:
-    """First valid row seen per customer, as a stateful stream."""
-    return dedup.stream_first_seen(customer_rows(bronze, as_of), ["customer_id"])
-
-
-def products(bronze: DataFrame) -> DataFrame:
-    """First valid row seen per product, as a stateful stream."""
-    return dedup.stream_first_seen(product_rows(bronze), ["product_id"])
-
-
 def orders(
     bronze: DataFrame, mode: str = GLOBAL, horizon: str = C.LATE_HORIZON
 ) -> DataFrame:
