@@ -245,9 +245,11 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
         .select("component", "node", "copies", "blocks", "side", "doc_id", "text_key", *name), "members")
     key = ["doc_id", "text_key"]
     asked = members.select(*key).distinct()
+    # An inner join: a semi join would be moved below the bit set, and all texts would be shuffled.
+    wanted = asked.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
     content = (
-        maybe_in(texts, asked, *key).join(asked.select(F.col("doc_id").alias("d"), F.col("text_key").alias("t")),
-                                          F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left_semi")
+        maybe_in(texts, asked, *key)
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")))
         .select("text").mapInArrow(_sets, SETS)
     )
     met = (
