@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import SPACES, staged, staying
+from basketry.llm.shared import SPACES, split_join, staged, staying
 
 #: A chunk ends after a punctuation mark and a space (or a full-width mark), 256 characters after
 #: its start at the earliest and 4,096 at the latest.
@@ -72,7 +72,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = listed.groupBy("recipe", "text_sha256").agg(
         F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("group_size"))
-    return listed.join(groups, ["recipe", "text_sha256"]).select(
+    return split_join(listed, groups, ["recipe", "text_sha256"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 

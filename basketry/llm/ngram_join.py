@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components
-from basketry.llm.shared import maybe_in, staged, staying
+from basketry.llm.shared import maybe_in, split_join, staged, staying
 from basketry.llm.words import U64, hashed, mixed, rolled, slices, split
 
 WORDS, THRESHOLD = 5, 0.8
@@ -233,7 +233,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
         F.col("row").alias("node"), "doc_id", "text_key", *name, "bands")
     keys = heads.select("node", F.explode("bands").alias("band"))
     leaders = keys.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader < last")
-    edges = keys.join(leaders, "band").filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    edges = split_join(keys, leaders, ["band"]).filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     families = components(edges)
 
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
@@ -273,7 +273,7 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
                 F.coalesce("class", "row").alias("class")), "classes")
     best = each.groupBy("class").agg(
         F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("class_size"))
-    return each.join(best, "class").select(
+    return split_join(each, best, ["class"]).select(
         "doc_id", F.col("best.doc_id").alias("class_id"), "n_links", "class_size",
         (F.col("row") == F.col("best.row")).alias("stays"), "text_key")
 

@@ -52,6 +52,18 @@ def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def split_join(rows: DataFrame, summary: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of ``rows`` with a summary that was grouped by the same keys and has one row for each.
+
+    The grouping has dealt the summary by its keys, and Spark would keep that layout for the join. Then
+    only one side has a shuffle of the join's own, and a key with very many rows cannot be split at run
+    time. A hash of the keys as a further key makes both sides shuffle anew, and skewed keys split.
+    """
+    mark = F.xxhash64(*keys)
+    return rows.withColumn("__mark", mark).join(
+        summary.withColumn("__mark", mark), ["__mark", *keys], how).drop("__mark")
+
+
 def staying(rows: DataFrame, decisions: DataFrame, id_key: Column, text_key: Column) -> DataFrame:
     """``rows`` without those that ``decisions`` (doc_id, text_key, stays), one for each row, drop.
 
@@ -69,5 +81,5 @@ def staying(rows: DataFrame, decisions: DataFrame, id_key: Column, text_key: Col
     return marked.filter("__stay is null").select(rows.columns).unionByName(repeated.select(rows.columns))
 
 
-__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "staged", "staying",
-           "table", "words_in"]
+__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "split_join", "staged",
+           "staying", "table", "words_in"]

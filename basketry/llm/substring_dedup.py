@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import maybe_in, staged
+from basketry.llm.shared import maybe_in, split_join, staged
 from basketry.llm.words import U64, hashed, mixed, rolled, slices, split
 
 WINDOW, GRAM = 50, 16
@@ -151,7 +151,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = facts.groupBy(*whole).agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter(
         "first < last").select(*whole, "first")
     marked = staged(
-        facts.join(repeated, whole, "left").withColumn("copy", F.coalesce(F.col("rank") > F.col("first"), F.lit(False)))
+        split_join(facts, repeated, whole, "left").withColumn("copy", F.coalesce(F.col("rank") > F.col("first"), F.lit(False)))
         .drop("first", *whole), "marked")
 
     anchors = marked.filter("not copy").select(
@@ -159,7 +159,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         *key, F.col("a.anchors").alias("anchor"), F.col("a.places").alias("place"))
     spread = anchors.groupBy("anchor").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter(
         "low < high").select("anchor")
-    shared = staged(anchors.join(spread, "anchor").groupBy(*key).agg(F.collect_list("place").alias("places")), "shared")
+    shared = staged(split_join(anchors, spread, ["anchor"]).groupBy(*key).agg(F.collect_list("place").alias("places")), "shared")
 
     texts = rows.select(*key, "text")
     windows = staged(maybe_in(texts, shared, *key).join(shared, key).select(*key, "text", "places").mapInArrow(
@@ -167,7 +167,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     name = ["hash_1", "hash_2"]
     first = windows.groupBy(*name).agg(F.min("rank").alias("low"), F.max("rank").alias("high")).filter(
         "low < high").select(*name, "low")
-    hits = staged(windows.join(first, name).filter("rank > low").groupBy(*key).agg(
+    hits = staged(split_join(windows, first, name).filter("rank > low").groupBy(*key).agg(
         F.collect_list("start").alias("starts")), "hits")
 
     cut = maybe_in(texts, hits, *key).join(hits, key).select(*key, "text", "starts").mapInArrow(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import files
-from basketry.llm.shared import scratch_folder, staged
+from basketry.llm.shared import scratch_folder, split_join, staged
 
 #: A file is closed once it holds this much.
 FILE_BYTES = 256 << 20
@@ -122,8 +122,8 @@ def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         headers.filter(F.col("size") >= least).groupBy("sha1")
         .agg(F.min(F.struct("none", "known")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     )
-    roles = headers.groupBy(*key).agg(F.max("size").alias("size")).join(
-        first.select("sha1", "first"), "sha1", "left")
+    roles = split_join(headers.groupBy(*key).agg(F.max("size").alias("size")),
+                       first.select("sha1", "first"), ["sha1"], "left")
     own = (F.col("first.none") == F.col("none")) & (F.col("first.known") == F.col("known"))
     alike = Window.partitionBy(*key).orderBy("url")
     return (
