@@ -67,11 +67,16 @@ def quotas(left: list[int], share: list[float], deficit: list[float], lengths: l
         for s in sorted(sources, key=lambda s: -deficit[s]):
             take[s] = max(0, min(left[s], int(deficit[s]), room))
             room -= take[s]
-        while room:  # shares are fractions, and queues run dry: the rest goes where the deficit is greatest
-            s = max((s for s in sources if left[s] > take[s]), key=lambda s: deficit[s] - take[s])
-            more = min(room, left[s] - take[s], max(1, int(deficit[s] - take[s])))
-            take[s] += more
-            room -= more
+        # Shares are fractions, and queues run dry: the rest goes to the others by their shares, and
+        # what is less than one id each, to those with the greatest deficit.
+        while room:
+            open_ = sorted((s for s in sources if left[s] > take[s]), key=lambda s: take[s] - deficit[s])
+            whole = sum(share[s] for s in open_)
+            for s in open_ if room >= len(open_) else open_[:room]:
+                more = int(room * share[s] / whole) if whole and room >= len(open_) else 1
+                more = min(max(more, 1), left[s] - take[s], room)
+                take[s] += more
+                room -= more
         for s in sources:
             deficit[s] -= take[s]
             left[s] -= take[s]
