@@ -28,6 +28,8 @@ from basketry.llm.words import slices
 #: Bound of the training sample: texts of a language.
 TRAINING_TEXTS = 512
 CENTROIDS = 4
+#: Ids of training texts that may be broadcast (some tens of megabytes).
+BROADCAST_IDS = 1_000_000
 FEATURE_BITS = 14
 ROUNDS = 8
 #: Most the model may hold, in bytes; beyond it, fewer features or centroids have to be chosen.
@@ -128,12 +130,14 @@ def fit(docs: DataFrame, trains: Column, text_col: str = "text", lang_col: str =
     """
     bits, width = FEATURE_BITS, 1 << FEATURE_BITS
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang", F.lit(7)), "id")
-    chosen = (
+    chosen = staged(
         docs.filter(trains & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
         .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
         .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= texts)
-        .select("id", "lang").distinct()
-    )
+        .select("id", "lang").distinct(), "chosen")
+    # A few hundred ids per language, so few that they go to every task; with very many languages, not.
+    if chosen.count() <= BROADCAST_IDS:
+        chosen = F.broadcast(chosen)
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,8 +188,9 @@ def identified(docs: DataFrame, model: Model | None, keep: list[str], text_col:
         model = shared.value
         for whole in batches:
             for batch in slices(whole, text_col):
-                found = [(UNDETERMINED, 0.0, True) if text is None or model is None
-                         else model.nearest(text) for text in batch.column(text_col).to_pylist()]
+                found = [(UNDETERMINED, 0.0, not any(map(str.isalpha, text or "")))
+                         if text is None or model is None else model.nearest(text)
+                         for text in batch.column(text_col).to_pylist()]
                 lang, score, rejected = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in keep), pa.array(lang, pa.string()),
@@ -205,9 +210,9 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, held_out, lang_pred, score (cosine, 0 to 1), rejected.
 
     lang_pred is a language seen in training, or ``und`` with score 0 where the text is NULL, empty
-    or without a letter, or nothing could be learned. Such texts are rejected, as are those too far
-    from every centroid; lang_pred still names the nearest. Equal cosines go to the first language
-    by name. Rows that repeat are predicted alike; those without id or language don't train.
+    or without a letter, or nothing could be learned. Texts without a letter are rejected, as are those
+    too far from every centroid, though lang_pred names the nearest. Without a model no other is.
+    Equal cosines go to the first language by name. Rows that repeat are predicted alike; those without id or language don't train.
     """
     model = fit(docs, ~held_out(id_col), text_col, lang_col, id_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))

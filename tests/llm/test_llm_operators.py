@@ -74,7 +74,9 @@ def test_language_rejects_what_is_far(spark):
 def test_language_empty_and_unlabelled(spark):
     assert language_id.languages(no_documents(spark)).count() == 0
     plain = documents(spark).withColumn("lang", F.lit(None).cast("string"))
-    assert {(r.lang_pred, r.score) for r in language_id.languages(plain).collect()} == {("und", 0.0)}
+    found = language_id.languages(plain).collect()
+    assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
+    assert {r.rejected for r in found} == {True, False}  # texts with letters are kept
 
 
 def test_language_training_is_bounded(spark):
