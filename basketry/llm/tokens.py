@@ -1,8 +1,9 @@
 """Token ids of whole texts, encoded word by word by the tokenizers library.
 
-The vocabularies used here never join characters across certain white space, so a text may be cut
-there and its pieces encoded on their own: the ids are those of the whole text. Pieces repeat, so
-each distinct one is encoded once and remembered by the task, up to ``MEMORY`` pieces.
+The vocabularies used here never join characters across certain white space, nor across the end of a
+run of letters, so a text may be cut there and its pieces encoded on their own: the ids are those of
+the whole text. Pieces repeat, so each distinct one is encoded once and remembered by the task, up to
+``MEMORY`` pieces. A run of Latin letters needs no pre-tokenizer and goes straight to the model.
 """
 
 from __future__ import annotations
@@ -15,9 +16,20 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Pieces a task remembers before it starts anew.
-MEMORY = 400_000
+MEMORY = 600_000
 #: A space before something else: a pre-tokenizer that takes one space into the next word cuts here.
 CUT = re.compile(r" (?=\S)")
+#: Precomposed Latin letters whose lower case is one letter, up to the end of the run; what follows
+#: is ASCII, so that no mark is combined with the last letter.
+LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]++(?=[\x00-\x7f]|\Z)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable characters that byte-level vocabularies write for bytes: themselves where they
+    are printable, and the code points from 256 on for the others, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Encoder:
@@ -28,6 +40,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.spaced = spaced
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self._forget()
 
     def _forget(self) -> None:
@@ -35,37 +48,51 @@ class Encoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.spans = np.zeros((1 << 14, 2), np.int64)  # start and length; the empty piece has none
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.places) + len(pieces) > MEMORY:
-            self._forget()
-        encoded = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        of = np.array(encoded.word_ids, np.int64) if encoded.ids else np.empty(0, np.int64)
-        lengths = np.bincount(of, minlength=len(pieces))
-        first, end = len(self.places), self.used + len(of)
-        while end > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while first + len(pieces) > len(self.spans):
+    def _letters(self, run: str) -> list[int]:
+        """Ids of a run of Latin letters, with a space before it or not."""
+        if not self.spaced:
+            run = run.lower()
+        if not run.isascii() or not self.spaced:
+            run = run.encode().decode("latin-1").translate(self.letters)
+        else:
+            run = run.replace(" ", self.letters[32])
+        return [t.id for t in self.model.tokenize(run)]
+
+    def _learn(self, piece: str, letters: bool) -> int:
+        found = self._letters(piece) if letters else self.tokenizer.encode(piece, add_special_tokens=False).ids
+        place, end = len(self.places), self.used + len(found)
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(found)), np.uint32)])
+        if place == len(self.spans):
             self.spans = np.concatenate([self.spans, np.zeros_like(self.spans)])
-        self.ids[self.used:end] = encoded.ids
-        self.spans[first:first + len(pieces), 0] = self.used + np.cumsum(lengths) - lengths
-        self.spans[first:first + len(pieces), 1] = lengths
-        self.places.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self.used = end
+        self.ids[self.used:end] = found
+        self.spans[place] = self.used, len(found)
+        self.places[piece], self.used = place, end
+        return place
 
     def _places(self, pieces: list[str]) -> np.ndarray:
-        unseen = list(dict.fromkeys(p for p in pieces if p not in self.places))
-        if unseen:
-            self._learn(unseen)
-            if any(p not in self.places for p in pieces):  # some were just forgotten
-                self._learn(list(dict.fromkeys(p for p in pieces if p not in self.places)))
-        return np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
+        """Of each piece, the places of its letters and of the rest."""
+        if len(self.places) > MEMORY:
+            self._forget()
+        get, match, out = self.places.get, LETTERS.match, []
+        for piece in pieces:
+            whole = get(piece)
+            if whole is not None:
+                out += (whole, 0)
+                continue
+            run = match(piece)
+            cut = run.end() if run else 0
+            for part, letters in ((piece[:cut], True), (piece[cut:], False)):
+                place = get(part)
+                out.append(self._learn(part, letters) if place is None else place)
+        return np.array(out, np.int64).reshape(-1, 2)
 
     def _gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the pieces one after another, number of ids of each)."""
-        start, length = self.spans[places, 0], self.spans[places, 1]
+        start, length = self.spans[places.ravel()].T
         ends = np.cumsum(length)
         at = np.repeat(start - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
-        return self.ids[at], length
+        return self.ids[at], length[0::2] + length[1::2]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; a NULL text is empty."""
@@ -81,12 +108,11 @@ class Encoder:
             ids, length = self._gathered(self._places(distinct)[index])
             return self._by_text(ids, length, ends)
         # What follows a space must begin with something else, or the cut is not one.
-        bad = np.fromiter((not w or w[0].isspace() for w in distinct), bool, len(distinct))[index]
+        pieces = [" " + w if w and not w[0].isspace() else "" for w in distinct]
+        bad = np.fromiter((not p for p in pieces), bool, len(pieces))[index]
         heads = ends - sizes
         bad[heads] = False
-        first = values.take(pa.array(heads)).to_pylist()
-        pieces = [" " + w if w and not w[0].isspace() else "" for w in distinct] + first
-        places = self._places(pieces)
+        places = self._places(pieces + values.take(pa.array(heads)).to_pylist())
         each = places[:len(distinct)][index]
         each[heads] = places[len(distinct):]
         found = self._by_text(*self._gathered(each), ends)
