@@ -1,7 +1,7 @@
 """URL filtering by association rules (operator 3), with DataFrame and SQL functions only.
 
-Given rules judge what they fit. Their verdicts are the labels from which Spark's FP-growth mines
-combinations of URL tokens: host labels, path segments, query keys. A mined rule says that URLs with
+Given rules judge what they fit. From their verdicts as labels, combinations of URL tokens (host
+labels, path segments, query keys) are mined level by level. A mined rule says that URLs with
 all its tokens are allowed, or blocked. Rules are pruned by support and confidence, and where a
 part of their tokens says as much with no less confidence. An inverted index of the rules, by their
 rarest token, finds those that fit the other URLs; the most confident one decides, or ``default``.
@@ -9,9 +9,9 @@ rarest token, finds those that fit the other URLs; the most confident one decide
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +22,8 @@ SUPPORT = 0.005
 CONFIDENCE = 0.9
 #: Tokens of a mined rule at most.
 TOKENS = 3
-#: Frequent tokens of one URL that enter mining, the most telling first: what is mined doubles with each.
-MINED_TOKENS = 10
+#: Tokens of one URL that enter mining: None is all.
+MINED_TOKENS = None
 DEFAULT = "allow"
 VERDICTS = ("allow", "block")
 
@@ -72,43 +72,79 @@ def _best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return found
 
 
+def _longer(level: dict[tuple[str, ...], tuple], place: dict[str, int]) -> list[tuple[list[str], list[str]]]:
+    """Sets of one token more whose every part is in ``level``: (set, tokens that may be added to it)."""
+    alike = defaultdict(list)
+    for held in level:
+        alike[held[:-1]].append(held[-1])
+    out = []
+    for head, lasts in alike.items():
+        lasts.sort(key=place.get)
+        for i, last in enumerate(lasts):
+            more = [t for t in lasts[i + 1:]
+                    if all((*head[:j], *head[j + 1:], last, t) in level for j in range(len(head)))]
+            if more:
+                out.append(([*head, last], more))
+    return out
+
+
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
-                tokens: int = TOKENS, per_url: int = MINED_TOKENS) -> DataFrame:
+                tokens: int = TOKENS) -> DataFrame:
     """(antecedent, verdict, confidence, support) from a table (tokens, verdict) of labelled URLs.
 
-    Support is the share of the labelled URLs that hold the antecedent and the verdict.
+    Support is the share of the labelled URLs that hold the antecedent and the verdict. All counts are
+    of whole URLs. A rule is idle if a part of its tokens has the same verdict with no less confidence.
+
+    Sets of tokens are counted level by level, one token more each time. A set is extended only if it
+    has support, both verdicts, and fewer URLs than each of its parts: what holds any other set is idle
+    or lacks support. The driver holds one level, of at most (sets in a URL / support) sets.
     """
     spark = labelled.sparkSession
-    empty = spark.createDataFrame([], "antecedent array<string>, verdict string, confidence double, support double")
-    total, blocked = labelled.agg(F.count(F.lit(1)), F.count_if(F.col("verdict") == "block")).first()
+    schema = "antecedent array<string>, verdict string, confidence double, support double"
+    total = labelled.count()
     if not total:
-        return empty
-    # At most (tokens of a URL / support) tokens are frequent: a short list.
-    gap = F.abs(F.col("blocks") / F.col("n") - F.lit(blocked / total))
-    frequent = [
-        r["token"] for r in
-        labelled.select("verdict", F.explode("tokens").alias("token")).groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "block").alias("blocks"))
-        .filter(F.col("n") >= support * total).orderBy(gap.desc(), F.desc("n"), "token").collect()
-    ]
-    if not frequent:
-        return empty
-    telling = F.slice(F.array_intersect(F.lit(frequent), F.col("tokens")), 1, per_url)
-    items = labelled.select(F.array_append(telling, F.concat(F.lit("verdict:"), "verdict")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    rules = staged(
-        model.associationRules
-        .filter(F.col("consequent")[0].isin([f"verdict:{v}" for v in VERDICTS]) & (F.size("antecedent") <= tokens))
-        .select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 9, 99).alias("verdict"),
-                "confidence", "support"), "mined")
-    # A rule is idle if a part of its tokens has the same verdict with no less confidence.
-    part = F.explode(F.transform(F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("antecedent")) - 2).cast("int")), lambda mask: F.filter(
-        F.col("antecedent"), lambda t, i: F.getbit(mask, i) == 1)))
-    parts = rules.filter(F.size("antecedent") > 1).select("antecedent", "verdict", "confidence", part.alias("part"))
-    shorter = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("as_good"))
-    idle = parts.join(shorter, ["part", "verdict"]).filter("as_good >= confidence").select("antecedent", "verdict").distinct()
-    return rules.join(idle, ["antecedent", "verdict"], "left_anti").select(
-        "antecedent", "verdict", "confidence", "support")
+        return spark.createDataFrame([], schema)
+    counts = [F.sum("n").alias("n"), F.sum("blocks").alias("blocks")]
+    enough = F.greatest("blocks", F.col("n") - F.col("blocks")) >= support * total
+    single = (
+        labelled.select(F.explode("tokens").alias("token"), F.lit(1).alias("n"),
+                        (F.col("verdict") == "block").cast("long").alias("blocks"))
+        .groupBy("token").agg(*counts).filter(enough).orderBy("n", "token").collect()
+    )
+    # The rarest token first: sets grow from few URLs.
+    place = {r["token"]: i for i, r in enumerate(single)}
+    found = [((r["token"],), r["n"], r["blocks"]) for r in single]
+    urls, rules, level = None, [], {}
+    while found:
+        size, shorter, level = len(found[0][0]), level, {}
+        for held, n, blocks in found:
+            parts = [shorter[held[:i] + held[i + 1:]] for i in range(size)] if size > 1 else []
+            if any(part[0] == n for part in parts):
+                continue
+            best = []
+            for i, (verdict, count) in enumerate(zip(VERDICTS, (n - blocks, blocks), strict=True)):
+                before = max((part[1][i] for part in parts), default=0.0)
+                if count >= support * total and count / n >= confidence and count / n > before:
+                    rules.append((sorted(held), verdict, count / n, count / total))
+                best.append(max(before, count / n))
+            if 0 < blocks < n:
+                level[held] = n, best
+        candidates = _longer(level, place) if size < tokens else []
+        if not candidates:
+            break
+        if urls is None:
+            items = F.array_intersect(F.lit(list(place)), F.col("tokens"))
+            urls = (
+                labelled.select(items.alias("items"), F.lit(1).alias("n"), (F.col("verdict") == "block").cast("long").alias("blocks"))
+                .groupBy("items").agg(*counts).withColumn("held", F.explode(F.transform("items", lambda t: F.array(t)))))
+        listed = spark.createDataFrame(candidates, "held array<string>, more array<string>")
+        urls = staged(
+            urls.join(F.broadcast(listed), "held")
+            .withColumn("last", F.explode(F.array_intersect("more", "items")))
+            .select("items", "n", "blocks", F.array_append("held", F.col("last")).alias("held")), f"mined-{size + 1}")
+        found = [(tuple(r["held"]), r["n"], r["blocks"])
+                 for r in urls.groupBy("held").agg(*counts).filter(enough).collect()]
+    return spark.createDataFrame(rules, schema)
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id", url_col: str = "url",

@@ -225,6 +225,43 @@ def test_url_copies_of_a_long_url_do_not_explode(spark):
     assert {r.verdict for r in url_rules.judged(pages(spark, rows)).collect()} == {"block"}
 
 
+def brute_mined(known, longest, support=url_rules.SUPPORT, confidence=url_rules.CONFIDENCE):
+    """All rules on whole URLs that no part makes idle."""
+    holds, says = Counter(), Counter()
+    for tokens, verdict in known:
+        for k in range(1, longest + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                holds[part] += 1
+                says[(part, verdict)] += 1
+    rules = {(p, v): c / holds[p] for (p, v), c in says.items() if c >= support * len(known) and c / holds[p] >= confidence}
+    return {(p, v, c, says[(p, v)] / len(known)) for (p, v), c in rules.items()
+            if not any(rules.get((sub, v), 0) >= c for k in range(1, len(p)) for sub in itertools.combinations(p, k))}
+
+
+def mined(spark, known, **options):
+    labelled = spark.createDataFrame([(list(t), v) for t, v in known], "tokens array<string>, verdict string")
+    return {(tuple(r.antecedent), r.verdict, r.confidence, r.support) for r in url_rules.mined_rules(labelled, **options).collect()}
+
+
+def test_url_rules_count_whole_urls(spark):
+    # 12 tokens tell more than "t", which is cut out of the URLs that speak against it when 10 are kept.
+    telling = [f"a{i:02d}" for i in range(12)]
+    known = [((*telling, "t"), "block")] * 30 + [(("t", "u"), "allow")] * 100 + [((f"b{i}", "u"), "block") for i in range(40)]
+    found = mined(spark, known)
+    assert found == brute_mined(known, 3)
+    assert not [r for r in found if r[0] == ("t",)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_url_rules_of_random_urls(spark, seed):
+    draw = np.random.default_rng(seed)
+    known = []
+    for _ in range(120):
+        tokens = tuple(f"t{i:02d}" for i in np.flatnonzero(draw.random(16) < 0.8))
+        known.append((tokens, "block" if "t00" in tokens and "t01" in tokens or draw.random() < 0.05 else "allow"))
+    assert mined(spark, known, support=0.02) == brute_mined(known, 3, support=0.02)
+
+
 def test_url_empty_and_unlabelled(spark):
     assert url_rules.judged(pages(spark, [])).count() == 0
     assert {r.verdict for r in url_rules.judged(pages(spark, [(1, "http://a.net/", None), (2, None, None)])).collect()} == {"allow"}
