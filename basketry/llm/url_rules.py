@@ -20,7 +20,7 @@ from basketry.llm.shared import staged
 #: Share of the labelled URLs that hold a rule's tokens and its verdict, at least.
 SUPPORT = 0.005
 CONFIDENCE = 0.9
-#: Tokens of a mined rule at most.
+#: Tokens of the rules that the tests' brute force goes through; mining has no limit.
 TOKENS = 3
 #: Tokens of one URL that enter mining: None is all.
 MINED_TOKENS = None
@@ -88,8 +88,7 @@ def _longer(level: dict[tuple[str, ...], tuple], place: dict[str, int]) -> list[
     return out
 
 
-def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
-                tokens: int = TOKENS) -> DataFrame:
+def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(antecedent, verdict, confidence, support) from a table (tokens, verdict) of labelled URLs.
 
     Support is the share of the labelled URLs that hold the antecedent and the verdict. All counts are
@@ -129,7 +128,7 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
                 best.append(max(before, count / n))
             if 0 < blocks < n:
                 level[held] = n, best
-        candidates = _longer(level, place) if size < tokens else []
+        candidates = _longer(level, place)
         if not candidates:
             break
         if urls is None:
