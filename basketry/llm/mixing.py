@@ -1,13 +1,14 @@
 """Mixing sources to target weights by Sainte-Lague apportionment (operator 4).
 
 Targets: all words are shared among the sources by weight; a target stops at a number of times its
-source's size, and the excess is shared again. The mix is made of blocks of equal length. Documents
-are dealt by hash into shards of bounded size. Each shard gives its blocks to the sources by highest
-quotients (votes / 1, 3, 5, ...; votes are the part of the source's target that falls to the
-shard), which yields integer quotas. Within a shard and source the documents form a line in seeded
-order, cut into blocks; every block is taken equally often, and the seed picks those taken once more.
-
-One shuffle of small rows; no task holds more than a shard, whatever the size of a source.
+source's size, and the excess is shared again. The mix is made of blocks of equal length, given to
+the sources by highest quotients (target / 1, 3, 5, ...), which yields integer quotas; a source at its
+limit is taken whole. Documents are dealt by hash into shards of bounded size. The documents of a source
+form one line through all shards, in seeded order, cut into blocks; every block is taken equally often,
+and the seed picks those taken once more. So nothing is rounded by shard.
+
+One shuffle of small rows, and one of the words of each source in each shard, whose running sum says
+where in the line a shard begins. No task holds more than a shard, whatever the size of a source.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS = 16
 ROWS_PER_SHARD = 2048
+#: Blocks among which the seed picks at a time.
+STRETCH = 1024
 SEED = 20240607
 
 
@@ -82,46 +85,58 @@ def apportioned(votes: np.ndarray, seats: int) -> np.ndarray:
     return given
 
 
-def taken_blocks(words: int, seats: int, block: int, most: int, seed: list[int]) -> np.ndarray:
-    """How often each block of a line of ``words`` words is taken; the last block may be shorter.
+def quotas(sources: pd.DataFrame, block: int, most: int) -> pd.DataFrame:
+    """(place, base, extra) of all sources: how often all their words are taken, and how many blocks once more."""
+    sources = sources.sort_values("place")
+    seats = apportioned(sources["target"].to_numpy(), round(sources["target"].sum() / block))
+    out = []
+    for place, size, target, n in zip(sources["place"], sources["source_size"], sources["target"], seats, strict=True):
+        size, n = int(size), int(n)
+        base = most if target >= most * size else min(most, n * block // size)
+        extra = 0 if base == most else min(-(-size // block), round((n * block - base * size) / block))
+        out.append((place, base if size else 0, extra))
+    return pd.DataFrame(out, columns=["place", "base", "extra"])
+
+
+def taken_again(first: int, last: int, blocks: int, extra: int, seed: list[int]) -> np.ndarray:
+    """Which of the blocks [first, last) are among the ``extra`` of ``blocks`` that are taken once more.
 
-    The line is taken whole as often as the words of the seats allow; the seed picks blocks for the rest.
+    Each stretch of ``STRETCH`` blocks has its share of them, so whoever asks for a block gets the same.
     """
-    blocks = -(-words // block)
-    whole = min(most, seats * block // words) if words else 0
-    times = np.full(blocks, whole)
-    if words and whole < most:
-        times[np.random.default_rng(seed).permutation(blocks)[:round((seats * block - whole * words) / block)]] += 1
-    return times
+    found = []
+    for stretch in range(first // STRETCH, -(-last // STRETCH)):
+        low, high = stretch * STRETCH, min(blocks, (stretch + 1) * STRETCH)
+        n = extra * high // blocks - extra * low // blocks
+        found.append(low + np.sort(np.random.default_rng([*seed, stretch]).permutation(high - low)[:n]))
+    found = np.concatenate(found) if found else np.empty(0, np.int64)
+    return found[(found >= first) & (found < last)]
 
 
-def mixed_shard(shard: pd.DataFrame, block: int, most: int, seed: int) -> pd.DataFrame:
-    """Adds to the rows of one shard: taken, copies and the ranges of words taken once more."""
+def mixed_shard(shard: pd.DataFrame, starts: pd.DataFrame, block: int, seed: int) -> pd.DataFrame:
+    """Adds to the rows of one shard: taken, copies and the ranges of words taken once more.
+
+    ``starts`` has the words of each source in the shards before.
+    """
     shard = shard.sort_values(["place", "spread", "doc_id", "size"], na_position="last").reset_index(drop=True)
-    number = int(shard["shard"].iloc[0])
     size = shard["size"].to_numpy()
     ends = np.cumsum(size)
     place, first = np.unique(shard["place"].to_numpy(), return_index=True)
     held = np.add.reduceat(size, first)
-    source_size, target = shard["source_size"].to_numpy()[first], shard["target"].to_numpy()[first]
-    votes = np.where(source_size > 0, target * (held / np.maximum(source_size, 1)), 0.0)
-    quota = apportioned(votes, round(votes.sum() / block))
-    taken, copies = np.zeros(len(shard), np.int64), np.zeros(len(shard), np.int64)
+    known = dict(zip(starts["place"], starts["before"], strict=True))
+    copies = np.where(size > 0, shard["base"].to_numpy(), 0)
     ranges: list[list[dict]] = [[] for _ in range(len(shard))]
     for c, start in enumerate(first):
         stop = first[c + 1] if c + 1 < len(first) else len(shard)
-        words = int(held[c])
-        times = taken_blocks(words, int(quota[c]), block, most, [seed, number, int(place[c])])
-        if not len(times):
+        words, extra, begin = int(held[c]), int(shard["extra"].iloc[start]), int(known[place[c]])
+        if not words or not extra:
             continue
-        base = int(times.min())
-        once = np.flatnonzero(times > base)
+        blocks = -(-int(shard["source_size"].iloc[start]) // block)
+        once = taken_again(begin // block, -(-(begin + words) // block), blocks, extra, [seed, int(place[c])])
         before = ends[start] - size[start]
-        copies[start:stop] = np.where(size[start:stop] > 0, base, 0)
         # Neighbouring blocks make one run of words; a document takes what of it lies within.
         cut = np.flatnonzero(np.diff(once) > 1) + 1
         for run in np.split(once, cut) if len(once) else ():
-            left, right = int(run[0]) * block, min((int(run[-1]) + 1) * block, words)
+            left, right = max(0, int(run[0]) * block - begin), min((int(run[-1]) + 1) * block - begin, words)
             row = start + int(np.searchsorted(ends[start:stop] - before, left, side="right"))
             while row < stop and ends[row] - size[row] - before < right:
                 from_, to = (max(left, int(ends[row] - size[row] - before)), min(right, int(ends[row] - before)))
@@ -161,15 +176,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     shares = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     shares = staged(shares.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("source")))),
                     "targets")
+    given = shares.select("place", "source_size", "target").groupBy().applyInPandas(
+        lambda sources: quotas(sources, block, most), "place int, base long, extra long")
+    shares = staged(shares.join(given, "place"), "quotas")
     shards = slice_count(rows.count(), rows_per_shard)
     dealt = (
         rows.join(shares, rows["source"].eqNullSafe(shares["source"]))
         # As text: a NULL among numbers would make pandas round them.
         .select("row", F.col("doc_id").cast("string").alias("doc_id"), "size", "spread", "place",
-                "source_size", "target", F.pmod("spread", F.lit(shards)).alias("shard"))
+                "source_size", "target", "base", "extra", F.pmod("spread", F.lit(shards)).alias("shard"))
     )
-    return dealt.groupBy("shard").applyInPandas(
-        lambda shard: mixed_shard(shard, block, most, seed), MIXED,
+    earlier = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = staged(dealt.groupBy("shard", "place").agg(F.sum("size").alias("held")).select(
+        "shard", "place", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before")), "starts")
+    return dealt.groupBy("shard").cogroup(starts.groupBy("shard")).applyInPandas(
+        lambda shard, starts: mixed_shard(shard, starts, block, seed), MIXED,
     ).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 

@@ -338,6 +338,20 @@ def test_mixing_caps(spark):
     assert found[0].target == 30 and found[0].taken == 30 and found[0].copies == 3
 
 
+@pytest.mark.parametrize("words", [2, 18])
+def test_mixing_does_not_round_by_shard(spark, words):
+    rows = [(i, prose(i, words), None, "a", 0) for i in range(60)] + [(100 + i, prose(i, 400), None, "b", 0) for i in range(40)]
+    rows += [(200 + i, prose(i, words), None, "c", 0) for i in range(160)]
+    source = {r[0]: r[3] for r in rows}
+    found = mixing.mixed(documents(spark, rows), rows_per_shard=1).collect()
+    taken, target, size = Counter(), {}, {}
+    for r in found:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]], size[source[r.doc_id]] = r.target, r.source_size
+    assert target["a"] == 3 * size["a"] and taken["a"] == target["a"]
+    assert all(abs(taken[s] - target[s]) <= 2 * 16 for s in target)
+
+
 def test_mix_has_the_words_taken(spark):
     docs = documents(spark)
     out = mixing.mix(docs)
