@@ -53,14 +53,16 @@ def best_in_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> It
         where = np.flatnonzero(held[:, term])
         dense = 2 * len(where) > n
         postings.append((slice(None) if dense else where, held[:, term].copy() if dense else held[where, term]))
-    own = pd.Index(ids).get_indexer(queries["vec_id"])
+    # Where a query's id stands among the sorted ids; several candidates may have it.
+    own, past = (np.searchsorted(ids, queries["vec_id"].to_numpy(), side) for side in ("left", "right"))
+    most = int((past - own).max(initial=0))
     for first in range(0, len(queries), STRIP):
-        strip, mine = asked[first:first + STRIP], own[first:first + STRIP]
+        strip, low, high = asked[first:first + STRIP], own[first:first + STRIP], past[first:first + STRIP]
         scores = np.zeros((len(strip), n), strip.dtype)
         for term, (where, weights) in enumerate(postings):
             if len(weights) and strip[:, term].any():
                 scores[:, where] += strip[:, term, None] * weights
-        keep = np.minimum(k + 1, n)  # one more, as the query may be among its own best
+        keep = np.minimum(k + most, n)  # more, as the query's id may be among its own best
         if bound * n < 2**62:
             order = scores.astype(np.int64) * n + np.arange(n - 1, -1, -1)
             best = np.argpartition(order, n - keep, axis=1)[:, n - keep:]
@@ -68,7 +70,7 @@ def best_in_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> It
             best = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
         rows = np.repeat(np.arange(len(strip)), keep)
         best = best.ravel()
-        other = best != mine[rows]
+        other = (best < low[rows]) | (best >= high[rows])
         rows, best = rows[other], best[other]
         yield pd.DataFrame({
             "query_id": queries["vec_id"].to_numpy()[first + rows], "vec_id": ids[best],
@@ -81,28 +83,30 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
           candidates_per_block: int = CANDIDATES_PER_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest inner products of each query, from 1 on.
 
-    Vectors are scaled to integers by ``scaled``. All rows but the query's own are candidates; ties
-    go to the smaller id. A vector that is NULL or has a NULL or non-finite component takes no part,
-    nor does a row without an id. Rows that repeat an id count once, with the smallest vector.
+    Vectors are scaled to integers by ``scaled``. All rows with another id than the query's are
+    candidates; ties go to the smaller id. A vector that is NULL or has a NULL or non-finite component
+    takes no part, nor does a row without an id. Rows that agree in id and vector count once; other
+    rows that repeat an id are candidates each, and the k best of all rows of a query's id are its own.
     Shorter vectors count as filled with zeros. Scores are exact while they fit in 64 bits. With
     fewer than k candidates all are returned; an empty table gives an empty result.
     """
     rows = staged(
         vectors.filter(F.col(id_col).isNotNull())
         .select(F.col(id_col).cast("long").alias("vec_id"), is_query.alias("asks"),
-                scaled(F.col(vector_col), scale).alias("weights"))
+                F.col(vector_col).alias("vector"), scaled(F.col(vector_col), scale).alias("weights"))
         .filter("weights is not null")
-        .groupBy("vec_id").agg(F.min("weights").alias("weights"), F.max("asks").alias("asks")),
+        .groupBy("vec_id", "vector").agg(F.min("weights").alias("weights"), F.max("asks").alias("asks"))
+        .select(F.monotonically_increasing_id().alias("row"), "vec_id", "weights", "asks"),
         "vectors",
     )
     blocks = slice_count(rows.filter("asks").count(), queries_per_block)
     parts = slice_count(rows.count(), candidates_per_block)
     asked = rows.filter("asks").select(
-        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block"),
         F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part"), "vec_id", "weights")
     held = rows.select(
         F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
-        F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part"), "vec_id", "weights")
+        F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"), "vec_id", "weights")
 
     def meet(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})

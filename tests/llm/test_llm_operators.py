@@ -505,6 +505,20 @@ def test_top_k(spark):
         assert sorted(map(tuple, found)) == sorted(want)
 
 
+@pytest.mark.parametrize("blocks", [{}, {"queries_per_block": 2, "candidates_per_block": 3}])
+def test_top_k_of_repeated_ids(spark, blocks):
+    rows = [(20, [1.0, 0.0])] + [(1, [float(x), 0.0]) for x in range(5)] + [(2, [2.5, 0.0]), (2, [2.5, 0.0]), (3, [-1.0, 0.0])]
+    rows += [(40, [float(x), 1.0]) for x in range(6)]  # queries too, none of them its own candidate
+    held = sorted({(i, tuple(v)) for i, v in rows})
+    want = []
+    for q in (20, 40):
+        scores = sorted((-int(sum(64 * 64 * a * b for a, b in zip(asked, v))), i) for own, asked in held if own == q for i, v in held if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:4])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=4, **blocks).collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
 def test_top_k_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     for rows, n in (([], 0), ([(20, [1.0])], 0), ([(20, [1.0]), (40, [2.0]), (1, [0.5])], 4)):
