@@ -145,9 +145,12 @@ def fit(docs: DataFrame, trains: Column, text_col: str = "text", lang_col: str =
             yield pd.DataFrame({"lang": batch["lang"], "at": [m[0].astype(np.int32) for m in made],
                                 "weights": [m[1].astype(np.float32) for m in made]})
 
+    # Rows that repeat a chosen id come back all; numbered again, they are no more than ``texts``.
+    again = Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id", "text")
     sample = staged(
         docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-        .join(chosen, ["id", "lang"]).filter(F.col("text").rlike(r"\p{L}")).select("lang", "text")
+        .join(chosen, ["id", "lang"]).filter(F.col("text").rlike(r"\p{L}"))
+        .withColumn("place", F.row_number().over(again)).filter(F.col("place") <= texts).select("lang", "text")
         .mapInPandas(reduce, "lang string, at array<int>, weights array<float>"),
         "language-sample",
     )

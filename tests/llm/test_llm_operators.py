@@ -85,6 +85,14 @@ def test_language_training_is_bounded(spark):
     assert max(Counter(model.labels).values()) <= 3 and set(model.labels) == {"en", "de", "fr", "es"}
 
 
+def test_language_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    rows = [(i % 3, prose(i, 30), "en", "a", 0) for i in range(90)]
+    made, staged = {}, language_id.staged
+    monkeypatch.setattr(language_id, "staged", lambda frame, name: made.setdefault(name, staged(frame, name)))
+    assert language_id.fit(documents(spark, rows), F.lit(True), texts=5)
+    assert made["language-sample"].count() == 5
+
+
 # --- archives ---
 
 def pages(spark, rows, clashing=True):
