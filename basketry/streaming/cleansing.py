@@ -23,20 +23,21 @@ def product_rows(bronze: DataFrame) -> DataFrame:
 
 
 def orders(
-    bronze: DataFrame, mode: str = GLOBAL, horizon: str = C.LATE_HORIZON
+    bronze: DataFrame, mode: str = GLOBAL, horizon: str = C.LATE_HORIZON, salts: int = 1
 ) -> DataFrame:
     """First valid row seen per order.
 
     ``global`` remembers every order; rows older than the watermark are dropped, and state is never
     released. ``within`` forgets an order after ``horizon``, so state is bounded and an order that
-    returns later than that is let through again.
+    returns later than that is let through again. ``salts`` above 1 spreads an order that holds
+    much of a trigger over that many tasks first.
     """
     rows = silver.order_rows(bronze)
     rows = Q.keep(Q.watched(rows, R.ORDER_RULES, C.SILVER_ORDERS), R.ORDER_RULES)
     if mode == GLOBAL:
-        seen = dedup.stream_first_seen(rows.withWatermark(C.INGESTED_AT, horizon), ["order_id"])
+        seen = dedup.stream_first_seen(rows.withWatermark(C.INGESTED_AT, horizon), ["order_id"], salts)
     elif mode == WITHIN:
-        seen = dedup.stream_first_seen_within(rows, ["order_id"], C.INGESTED_AT, horizon)
+        seen = dedup.stream_first_seen_within(rows, ["order_id"], C.INGESTED_AT, horizon, salts)
     else:
         raise ValueError(f"mode must be {GLOBAL!r} or {WITHIN!r}, not {mode!r}")
     return silver.with_order_period(seen)

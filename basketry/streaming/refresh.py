@@ -34,6 +34,7 @@ class Lakehouse:
     horizon: str = C.LATE_HORIZON
     max_files: int = C.MAX_FILES_PER_TRIGGER
     first_seen_dimensions: bool = False
+    order_salts: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -132,7 +133,7 @@ class Lakehouse:
             for name, (rows, keys) in kept.items()
         ]
         appended = {
-            C.SILVER_ORDERS: cleansing.orders(bronze, self.order_mode, self.horizon),
+            C.SILVER_ORDERS: cleansing.orders(bronze, self.order_mode, self.horizon, self.order_salts),
             C.SILVER_QUARANTINE: silver.quarantine(bronze),
         }
         queries += [

@@ -254,3 +254,13 @@ def test_one_state_row_per_key(spark, folder):
     query = runs.append(stream, f"{folder}/check", f"{folder}/out")
     state = [s["numRowsTotal"] for p in query.recentProgress[-1:] for s in p["stateOperators"]]
     assert state == [40]
+
+
+def test_salts_reach_the_orders_of_a_run(spark, folder, monkeypatch):
+    used, salted = [], dedup._salt
+    monkeypatch.setattr(dedup, "_salt", lambda salts: (used.append(salts), salted(salts))[1])
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables", order_salts=3)
+    write(house.landing, "1.csv", [_order(1)] * 20 + [_order(2)])
+    house.run(spark, _at(0))
+    assert set(used) == {3}
+    assert sorted(r.order_id for r in house.read(spark, C.SILVER_ORDERS).collect()) == ["O-1", "O-2"]
