@@ -8,16 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm.collocations import collocations
 from basketry.llm.exact_dedup import exact_duplicates
 from basketry.llm.language_id import languages
 from basketry.llm.mixing import mixed
 from basketry.llm.ngram_join import joined
 from basketry.llm.packing import packed
+from basketry.llm.permutation_index import neighbours
 from basketry.llm.shared import table
 from basketry.llm.substring_dedup import without_repeats
 from basketry.llm.token_files import token_digests
 from basketry.llm.topk import top_k
 from basketry.llm.url_rules import judged
+from basketry.llm.vector_codes import vector_codes
 from basketry.llm.warc import archived_pages
 
 
@@ -63,6 +66,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_url_rules": op3_url_rules,
@@ -74,4 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_permutation_index": op13_permutation_index,
 }

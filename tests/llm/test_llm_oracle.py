@@ -13,7 +13,7 @@ ORACLE = oracle_sql()
 
 def test_names():
     assert set(ORACLE) <= set(QUERIES)
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
