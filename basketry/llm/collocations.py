@@ -40,7 +40,12 @@ BREAKS = r"[.,;:!?\x0A-\x0D]"
 #: A word, counted where no phrase is needed.
 WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 
-COUNTS = "shard int, h long, n long"
+#: Text bytes counted at once; the numbers a task keeps for them take about forty times as much.
+SLICE_BYTES = 2 << 20
+#: A shard and the hash of a phrase in one number: the shard above this many bits of the hash.
+HASH_BITS = U64(56)
+
+COUNTS = "h long, n long"
 PHRASES = "lang string, phrase string, words int, n long"
 
 
@@ -77,10 +82,10 @@ class Batch:
         """Whether ``length`` words from each place on stand in one piece; shorter by ``length`` - 1."""
         return self.piece[:len(self.piece) - length + 1] == self.piece[length - 1:]
 
-    def hashes(self) -> list[np.ndarray]:
+    def hashes(self, longest: int = LENGTH) -> list[np.ndarray]:
         """Hashes of language and words of the phrases of 1, 2, ... words from each place on."""
         out, held = [], mixed(self.word ^ self.own)
-        for length in range(1, LENGTH + 1):
+        for length in range(1, longest + 1):
             if length > 1:
                 held = mixed(held[:-1] * BASE + self.word[length - 1:]) if len(held) else held
             out.append(held)
@@ -89,20 +94,16 @@ class Batch:
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Batch]]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", SLICE_BYTES):
             words = Batch(batch)
             if len(words.codes):
                 yield batch, words
 
 
 def _counted(shard: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    both = mixed(h ^ mixed(shard.astype(U64)))
-    number, _ = pd.factorize(both)
-    first = np.empty(number.max(initial=-1) + 1, np.int64)
-    first[number[::-1]] = np.arange(len(number))[::-1]
+    number, distinct = pd.factorize(h & U64((1 << 56) - 1) | shard << HASH_BITS)
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard[first].astype(np.int32)), pa.array(h[first].view(np.int64)), pa.array(np.bincount(number, minlength=len(first)))],
-        ["shard", "h", "n"])
+        [pa.array(distinct.view(np.int64)), pa.array(np.bincount(number, minlength=len(distinct)))], ["h", "n"])
 
 
 def _bit(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -122,8 +123,8 @@ def _members(hashes: DataFrame, value: Column) -> np.ndarray:
 
 def words_and_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, words in _batches(batches):
-        shard = batch.column("shard").to_numpy()[words.row]
-        h = words.hashes()
+        shard = batch.column("shard").to_numpy().astype(U64)[words.row]
+        h = words.hashes(2)
         for length in (1, 2):
             real = words.whole(length)
             yield _counted(shard[:len(real)][real], h[length - 1][real])
@@ -132,9 +133,9 @@ def words_and_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def longer(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Phrases of three words and more whose pairs are all frequent in the shard."""
     for batch, words in _batches(batches):
-        shard = batch.column("shard").to_numpy()[words.row]
+        shard = batch.column("shard").to_numpy().astype(U64)[words.row]
         h = words.hashes()
-        pair = _bit(h[1] >> shard[:len(h[1])].astype(U64), bits)
+        pair = _bit(h[1] >> shard[:len(h[1])], bits)
         held = pair
         for length in range(3, LENGTH + 1):
             held = held[:-1] & pair[length - 2:]
@@ -173,6 +174,8 @@ def exactly(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.
 
 def frequent(rows: DataFrame, support: int = SUPPORT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, words, n) of the phrases of 1 to ``LENGTH`` words that occur ``support`` times, (lang, n) of all words)."""
+    if not 0 < shards <= 256:
+        raise ValueError("between 1 and 256 shards")
     context = rows.sparkSession.sparkContext
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int"))
     sizes = staged(dealt.groupBy("lang", "shard").agg(
@@ -183,8 +186,11 @@ def frequent(rows: DataFrame, support: int = SUPPORT, shards: int = SHARDS) -> t
     local = F.array(*(F.lit(max(1, -(-support * of_shard.get(s, 0) // total))) for s in range(shards)))
 
     def enough(counts: DataFrame, label: str) -> DataFrame:
-        return staged(counts.groupBy("shard", "h").agg(F.sum("n").alias("n"))
-                      .filter(F.col("n") >= F.element_at(local, F.col("shard") + 1)).select("shard", "h"), label)
+        # Most hashes are new to their task: they are added up behind the shuffle only.
+        shard = F.shiftrightunsigned("h", int(HASH_BITS)).cast("int")
+        return staged(counts.repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+                      .filter(F.col("n") >= F.element_at(local, shard + 1))
+                      .select(shard.alias("shard"), F.col("h").bitwiseAND(F.lit((1 << 56) - 1)).alias("h")), label)
 
     texts = dealt.select("shard", "lang", "text")
     short = enough(texts.mapInArrow(words_and_pairs, COUNTS), "short")
