@@ -44,6 +44,9 @@ WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 SLICE_BYTES = 2 << 20
 #: A shard and the hash of a phrase in one number: the shard above this many bits of the hash.
 HASH_BITS = U64(56)
+LOW = (1 << 56) - 1
+#: What tells the same phrase of two shards apart in one bit set.
+SPREAD = 0x9E3779B97F4B
 
 COUNTS = "h long, n long"
 PHRASES = "lang string, phrase string, words int, n long"
@@ -88,7 +91,7 @@ class Batch:
         for length in range(1, longest + 1):
             if length > 1:
                 held = mixed(held[:-1] * BASE + self.word[length - 1:]) if len(held) else held
-            out.append(held)
+            out.append(held & U64(LOW))
         return out
 
 
@@ -101,7 +104,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 
 
 def _counted(shard: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
-    number, distinct = pd.factorize(h & U64((1 << 56) - 1) | shard << HASH_BITS)
+    number, distinct = pd.factorize(h | shard << HASH_BITS)
     return pa.RecordBatch.from_arrays(
         [pa.array(distinct.view(np.int64)), pa.array(np.bincount(number, minlength=len(distinct)))], ["h", "n"])
 
@@ -135,7 +138,7 @@ def longer(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.R
     for batch, words in _batches(batches):
         shard = batch.column("shard").to_numpy().astype(U64)[words.row]
         h = words.hashes()
-        pair = _bit(h[1] >> shard[:len(h[1])], bits)
+        pair = _bit(h[1] + shard[:len(h[1])] * U64(SPREAD), bits)
         held = pair
         for length in range(3, LENGTH + 1):
             held = held[:-1] & pair[length - 2:]
@@ -190,11 +193,11 @@ def frequent(rows: DataFrame, support: int = SUPPORT, shards: int = SHARDS) -> t
         shard = F.shiftrightunsigned("h", int(HASH_BITS)).cast("int")
         return staged(counts.repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
                       .filter(F.col("n") >= F.element_at(local, shard + 1))
-                      .select(shard.alias("shard"), F.col("h").bitwiseAND(F.lit((1 << 56) - 1)).alias("h")), label)
+                      .select(shard.alias("shard"), F.col("h").bitwiseAND(F.lit(LOW)).alias("h")), label)
 
     texts = dealt.select("shard", "lang", "text")
     short = enough(texts.mapInArrow(words_and_pairs, COUNTS), "short")
-    in_shard = context.broadcast(_members(short, F.expr("shiftrightunsigned(h, shard)")))
+    in_shard = context.broadcast(_members(short, F.col("h") + F.col("shard") * F.lit(SPREAD)))
     long = enough(texts.mapInArrow(lambda b: longer(b, in_shard.value), COUNTS), "long")
     anywhere = context.broadcast(_members(short.unionByName(long), F.col("h")))
     counts = staged(
