@@ -5,19 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import staged
+from basketry.llm.shared import split_join, staged
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for the nodes of edges (a, b); a component is named by its smallest node.
+def _core(edges: DataFrame) -> DataFrame:
+    """(node, component) for the nodes of staged edges (a, b).
 
     Every round, a node takes the smallest name among its own and its neighbours', then the name
     of that node, which halves paths. Rounds end when no name changes. Each round is written to the
-    shared folder. Neighbours are reduced by a minimum before they are shuffled, and the joins have
-    one row per node on one side, so a node with very many neighbours is split where it is skewed.
+    shared folder. Neighbours are reduced by a minimum before they are shuffled.
     """
-    both = staged(edges.filter("a <> b").select("a", "b").unionByName(
-        edges.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     names = both.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("node"), F.least("a", "b").alias("component"))
     while True:
@@ -33,3 +31,26 @@ def components(edges: DataFrame) -> DataFrame:
         names = jumped.select("node", "component")
         if jumped.filter("component <> old").isEmpty():
             return names
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component) for the nodes of edges (a, b); a component is named by its smallest node.
+
+    The graph is contracted before its names are spread. Every node keeps one edge, to its smallest
+    neighbour below it; its other edges downwards become edges from those neighbours to the smallest one,
+    of which equal ones are one. So a node that is nobody's smaller neighbour, as most members of a large
+    group are, has one edge in all: it takes no part in the rounds and gets its name at the end.
+    """
+    down = staged(edges.filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    least = staged(down.groupBy("a").agg(F.min("b").alias("least")), "least")
+    leaders = staged(down.select(F.col("b").alias("a")).distinct(), "leaders")
+    others = split_join(down, least, ["a"]).filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    core = _core(staged(
+        least.join(leaders, "a", "left_semi").select("a", F.col("least").alias("b")).unionByName(others).distinct(), "core"))
+    named = staged(
+        leaders.join(core, leaders["a"] == core["node"], "left")
+        .select("a", F.coalesce("component", "a").alias("component")), "leaders")
+    leaves = least.join(leaders, "a", "left_anti").select(F.col("a").alias("node"), F.col("least").alias("a"))
+    return split_join(leaves, named, ["a"]).select("node", "component").unionByName(
+        named.select(F.col("a").alias("node"), "component"))

@@ -207,3 +207,30 @@ def test_overlaps_agree():
     many = ngram_join.overlaps(sets, sets, x, y)
     one = [ngram_join.overlaps(sets, sets, x[k:k + 1], y[k:k + 1])[0] for k in range(0, 900, 17)]
     assert many[::17].tolist() == [int(n) for n in one]
+
+
+@pytest.mark.parametrize("edges", [
+    [], [(1, 1)], [(2, 1), (1, 2), (2, 1)], [(i, i + 1) for i in range(40)], [(i + 1, i) for i in range(0, 40, 2)],
+    [(0, i) for i in range(1, 60)], [(59, i) for i in range(59)], [(i, i % 7 + 100) for i in range(60)] + [(100, 106), (3, 104)],
+    [(a, b) for a in range(8) for b in range(a)] + [(20, 21), (21, 22), (22, 20), (30, 7)]])
+def test_components(spark, edges):
+    from basketry.llm.components import components
+
+    roots = {n: n for e in edges if e[0] != e[1] for n in e}
+    for _ in roots:
+        for a, b in edges:
+            if a != b:
+                roots[a] = roots[b] = min(roots[a], roots[b])
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted(roots.items())
+
+
+def test_members_of_a_large_group_stay_out_of_the_rounds(spark, monkeypatch):
+    """1,000 nodes with 8 edges each to the same leaders."""
+    from basketry.llm import components as module
+
+    seen, plain = [], module._core
+    monkeypatch.setattr(module, "_core", lambda edges: (seen.append(edges.count()), plain(edges))[1])
+    edges = spark.range(1000).selectExpr("id + 100 as a", "explode(sequence(1L, 8L)) as b")
+    assert {r.component for r in module.components(edges).collect()} == {1}
+    assert seen == [7]
