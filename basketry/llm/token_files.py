@@ -42,6 +42,8 @@ DICTIONARY_BYTES = 64 << 10
 #: The dictionary's sample: so many documents, chosen by hash, of up to so many ids each.
 SAMPLE_DOCS, SAMPLE_IDS = 2000, 16_384
 LEVEL = 3
+#: Text bytes encoded at once: the more, the fewer words are looked up again.
+SLICE_BYTES = 8 << 20
 
 MANIFEST = "part long, place long, path string, docs long, ids long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -164,7 +166,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, spaced: bool, wid
             done.append({"part": part, "place": len(done), "path": out.path, "docs": len(out.ids), "ids": out.total})
 
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE_BYTES):
                 ids = encoder(path, spaced).encode(batch.column("text"))
                 for doc_id, own in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                     out = out or Writer(folder, width, shared.value)

@@ -9,6 +9,7 @@ the whole text. Pieces repeat, so each distinct one is encoded once and remember
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,23 +59,28 @@ class Encoder:
             run = run.replace(" ", self.letters[32])
         return [t.id for t in self.model.tokenize(run)]
 
-    def _learn(self, piece: str, letters: bool) -> int:
-        found = self._letters(piece) if letters else self.tokenizer.encode(piece, add_special_tokens=False).ids
-        place, end = len(self.places), self.used + len(found)
+    def _learn(self, parts: list[str], letters: list[bool]) -> None:
+        """Encodes parts that have been given the next places, and keeps their ids."""
+        encode = self.tokenizer.encode
+        found = [self._letters(p) if run else encode(p, add_special_tokens=False).ids
+                 for p, run in zip(parts, letters, strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        first, end = len(self.places) - len(parts), self.used + int(sizes.sum())
         if end > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(found)), np.uint32)])
-        if place == len(self.spans):
-            self.spans = np.concatenate([self.spans, np.zeros_like(self.spans)])
-        self.ids[self.used:end] = found
-        self.spans[place] = self.used, len(found)
-        self.places[piece], self.used = place, end
-        return place
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), end - self.used), np.uint32)])
+        if len(self.places) > len(self.spans):
+            self.spans = np.concatenate([self.spans, np.zeros((max(len(self.spans), len(parts)), 2), np.int64)])
+        self.ids[self.used:end] = np.fromiter(chain.from_iterable(found), np.uint32, end - self.used)
+        self.spans[first:len(self.places)] = np.stack([self.used + np.cumsum(sizes) - sizes, sizes], axis=1)
+        self.used = end
 
     def _places(self, pieces: list[str]) -> np.ndarray:
         """Of each piece, the places of its letters and of the rest."""
         if len(self.places) > MEMORY:
             self._forget()
-        get, match, out = self.places.get, LETTERS.match, []
+        places, get, match, out = self.places, self.places.get, LETTERS.match, []
+        parts: list[str] = []
+        kinds: list[bool] = []
         for piece in pieces:
             whole = get(piece)
             if whole is not None:
@@ -84,7 +90,13 @@ class Encoder:
             cut = run.end() if run else 0
             for part, letters in ((piece[:cut], True), (piece[cut:], False)):
                 place = get(part)
-                out.append(self._learn(part, letters) if place is None else place)
+                if place is None:
+                    place = places[part] = len(places)
+                    parts.append(part)
+                    kinds.append(letters)
+                out.append(place)
+        if parts:
+            self._learn(parts, kinds)
         return np.array(out, np.int64).reshape(-1, 2)
 
     def _gathered(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,19 +114,20 @@ class Encoder:
         ends = np.cumsum(sizes)
         values = lists.flatten()
         coded = values.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
         index = coded.indices.to_numpy(zero_copy_only=False)
         if not self.spaced:
-            ids, length = self._gathered(self._places(distinct)[index])
+            ids, length = self._gathered(self._places(coded.dictionary.to_pylist())[index])
             return self._by_text(ids, length, ends)
         # What follows a space must begin with something else, or the cut is not one.
-        pieces = [" " + w if w and not w[0].isspace() else "" for w in distinct]
-        bad = np.fromiter((not p for p in pieces), bool, len(pieces))[index]
+        words = coded.dictionary
+        plain = pc.invert(pc.or_(pc.equal(words, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(words, 0, 1))))
+        pieces = pc.if_else(plain, pc.binary_join_element_wise(pa.scalar(" "), words, pa.scalar("")), "").to_pylist()
+        bad = ~plain.to_numpy(zero_copy_only=False)[index]
         heads = ends - sizes
         bad[heads] = False
         places = self._places(pieces + values.take(pa.array(heads)).to_pylist())
-        each = places[:len(distinct)][index]
-        each[heads] = places[len(distinct):]
+        each = places[:len(words)][index]
+        each[heads] = places[len(words):]
         found = self._by_text(*self._gathered(each), ends)
         for row in np.flatnonzero(np.add.reduceat(bad, heads)) if len(heads) else ():
             head, *rest = CUT.split(texts[int(row)].as_py())
