@@ -222,7 +222,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                                           (r["last"] - r["first"]).cast("int")))), " ")
     some = F.size("__own.ranges") > 0
     out = (
-        rows.withColumn("__words", F.when(some, words)).withColumn("__part", F.when(some, part))
+        # Behind a generator the words stay a column: the text is not split again for each of its ranges.
+        rows.withColumn("__words", F.explode(F.array(F.when(some, words)))).withColumn("__part", F.when(some, part))
         .withColumn("__text", F.explode(F.concat(
             F.array_repeat(F.struct(F.lit(False).alias("cut"), F.col(text_col).alias("text")), F.col("__own.copies").cast("int")),
             F.when(some, F.array(F.struct(F.lit(True).alias("cut"), F.col("__part").alias("text")))).otherwise(F.array()))))

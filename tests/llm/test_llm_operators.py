@@ -428,9 +428,11 @@ def test_token_files_by_offset(spark, folder):
 
 
 def test_dictionary_helps_short_documents():
-    ids = [token_files.serialised(np.array(Encoder(BYTE_BPE, True).encode(pa.array([prose(i, 40)]))[0]), 2) for i in range(3000)]
     import zstandard
 
+    texts = pa.array([prose(i, 40) for i in range(3000)])
+    ids = [token_files.serialised(i, 2) for i in Encoder(BYTE_BPE, True).encode(texts)]
+
     content = token_files.trained(ids[:2000])
     small = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content))
     plain = zstandard.ZstdCompressor()
@@ -441,6 +443,14 @@ def test_token_files_empty(spark):
     assert token_files.token_digests(no_documents(spark), BYTE_BPE).count() == 0
 
 
+def test_mix_splits_a_text_once(spark, capsys):
+    """The words of a text that is cut into many ranges are a column, not an expression of each range."""
+    mixing.mix(documents(spark, [(1, prose(1, 3000), None, "a", 0), (2, prose(2, 3000), None, "b", 0)])).explain("extended")
+    optimized = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    inside = [line for line in optimized.splitlines() if "lambdafunction" in line]
+    assert inside and not any("regexp_extract_all" in line and "slice(" in line for line in inside)
+
+
 # --- packing ---
 
 @pytest.mark.parametrize("window,rows_per_slice", [(4096, 2048), (64, 9)])
