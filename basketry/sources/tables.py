@@ -9,11 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from basketry.contracts import TableInfo
 
 BATCH = "batch"
+# Commits take turns in so many folders, so the last ones are never being replaced when they are read.
+_TURNS = 4
+_COMMIT = "_commit"
 
 
 def balanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
@@ -22,6 +25,52 @@ def balanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def commit(rows: DataFrame, path: str, number: int) -> None:
+    """Make ``rows``, a small table, the newest commit at ``path``. A commit that is run again
+    replaces itself, and one that fails leaves those before it."""
+    rows.withColumn(_COMMIT, F.lit(number).cast("long")).coalesce(1).write.mode("overwrite").parquet(
+        f"{path}/turn={number % _TURNS}")
+
+
+def last_commit(
+    spark: SparkSession, path: str, schema: T.StructType, most: int, before: int | None = None
+) -> tuple[int, list[Row]]:
+    """Number and rows of the newest commit, of ``most`` rows at most; -1 if there is none. With
+    ``before``, the newest of those with a lower number."""
+    named = T.StructType([*schema.fields, T.StructField(_COMMIT, T.LongType())])
+    rows = spark.read.schema(named).option("ignoreMissingFiles", "true").parquet(path)
+    if before is not None:
+        rows = rows.filter(F.col(_COMMIT) < before)
+    found = rows.orderBy(F.desc(_COMMIT)).limit(most).collect()
+    number = found[0][_COMMIT] if found else -1
+    return number, [row for row in found if row[_COMMIT] == number]
+
+
+_SLOT = T.StructType([T.StructField("slot", T.IntegerType())])
+
+
+def recompute(df: DataFrame, path: str) -> None:
+    """Replace a table as a whole: write beside it, then switch by one committed row.
+
+    Two slots take turns. A write that fails leaves the table as it was, and a reader that is busy
+    with it keeps its files until the second write after.
+    """
+    spark, commits = df.sparkSession, f"{path}/commits"
+    create(spark, commits, _SLOT)
+    number, rows = last_commit(spark, commits, _SLOT, 1)
+    slot = 1 - rows[0]["slot"] if rows else 0
+    refresh(df, f"{path}/slot={slot}")
+    commit(spark.range(1).select(F.lit(slot).alias("slot")), commits, number + 1)
+
+
+def recomputed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table that the last finished ``recompute`` has left."""
+    _, rows = last_commit(spark, f"{path}/commits", _SLOT, 1)
+    if not rows:
+        raise FileNotFoundError(f"{path} has not been computed yet")
+    return snapshot(spark, f"{path}/slot={rows[0]['slot']}", schema)
+
+
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table at ``path``, which ``df`` must not read.
 
@@ -72,6 +121,12 @@ def write_batch(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
 
 
+def replace_folders(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write the partitions that ``df`` has rows of, replacing each as a whole; others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition_by).parquet(path)
+
+
 def snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a table as it is now. With ``schema``, text partition columns keep their type."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -151,6 +151,7 @@ def test_incremental_history_and_replay(spark, folder):
              [("q", 4, "y", "n"), ("q", 6, "w", "n")]]
     frames = [spark.createDataFrame(rows, schema) for rows in parts]
     history = History(f"{folder}/h", ["k"], "t", ["k", "a"], frames[0].schema)
+    history.create(spark)
     everything = frames[0].unionByName(frames[1]).unionByName(frames[2])
 
     def rows(frame):
@@ -188,6 +189,7 @@ def test_incremental_history_of_random_batches(spark, folder):
     schema = "k string, t int, a string, note string"
     history = History(f"{folder}/h", ["k"], "t", ["k", "a"],
                       spark.createDataFrame([], schema).schema)
+    history.create(spark)
     everything = []
     for i in range(4):
         # Mostly in order, some late, some ties with what was seen, some new keys.
@@ -264,3 +266,77 @@ def test_salts_reach_the_orders_of_a_run(spark, folder, monkeypatch):
     house.run(spark, _at(0))
     assert set(used) == {3}
     assert sorted(r.order_id for r in house.read(spark, C.SILVER_ORDERS).collect()) == ["O-1", "O-2"]
+
+
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_rewrites_the_buckets_of_its_keys_only(spark, folder):
+    schema = "k string, t int, a string"
+    empty = spark.createDataFrame([], schema)
+    history = History(f"{folder}/h", ["k"], "t", ["k", "a"], empty.schema, buckets=16)
+    history.create(spark)
+    history.upsert(spark.createDataFrame([(f"k{i}", 1, "x") for i in range(200)], schema), 0)
+    versions = f"{folder}/h/versions"
+    before = _files(versions)
+    assert len({os.path.dirname(f) for f in before}) == 16
+
+    history.upsert(spark.createDataFrame([("k7", 2, "y")], schema), 1)
+    after = _files(versions)
+    assert all(after[f] == t for f, t in before.items())  # what was current is untouched
+    assert len({os.path.dirname(f) for f in set(after) - set(before)}) == 1
+    got = {tuple(r) for r in history.read(spark).collect()}
+    assert len(got) == 201 and {("k7", "x", 1, 2), ("k7", "y", 2, None)} <= got
+
+    # A late row rewrites that bucket again, in its first slot; an empty batch rewrites nothing.
+    history.upsert(spark.createDataFrame([("k7", 0, "w")], schema), 2)
+    assert sum(after.get(f) != t for f, t in _files(versions).items()) >= 1
+    assert ("k7", "w", 0, 1) in {tuple(r) for r in history.read(spark).collect()}
+    last = _files(versions)
+    history.upsert(empty, 3)
+    assert _files(versions) == last and history.read(spark).count() == 202
+
+
+def test_a_failed_batch_leaves_the_history(spark, folder, monkeypatch):
+    schema = "k string, t int, a string"
+    frames = [spark.createDataFrame(rows, schema) for rows in ([("p", 1, "x"), ("q", 1, "x")], [("p", 2, "y")])]
+    history = History(f"{folder}/h", ["k"], "t", ["k", "a"], frames[0].schema, buckets=4)
+    history.create(spark)
+    history.upsert(frames[0], 0)
+    before = sorted(map(str, history.read(spark).collect()))
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            history.upsert(frames[1], 1)
+    assert sorted(map(str, history.read(spark).collect())) == before
+    history.upsert(frames[1], 1)
+    assert {tuple(r) for r in history.read(spark).collect()} == {("p", "x", 1, 2), ("p", "y", 2, None), ("q", "x", 1, None)}
+
+
+def test_commits_take_turns(spark, folder):
+    schema = spark.createDataFrame([], "v int").schema
+    tables.create(spark, f"{folder}/c", schema)
+    assert tables.last_commit(spark, f"{folder}/c", schema, 3) == (-1, [])
+    for number in range(7):
+        tables.commit(spark.range(number % 3 + 1).selectExpr(f"{number} as v"), f"{folder}/c", number)
+        last, rows = tables.last_commit(spark, f"{folder}/c", schema, 3)
+        assert last == number and [r.v for r in rows] == [number] * (number % 3 + 1)
+    assert tables.last_commit(spark, f"{folder}/c", schema, 3, before=6)[0] == 5
+    assert len(os.listdir(f"{folder}/c")) == 5  # four turns and the folder of an empty table
+
+
+def test_a_failed_recompute_leaves_the_table(spark, folder):
+    path = f"{folder}/t"
+    with pytest.raises(Exception, match="commits|computed"):
+        tables.recomputed(spark, path)
+    for n in (3, 4):
+        tables.recompute(spark.range(n), path)
+        assert tables.recomputed(spark, path).count() == n
+    broken = spark.range(9).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        tables.recompute(broken, path)
+    assert tables.recomputed(spark, path).count() == 4
+    tables.recompute(spark.range(5), path)
+    assert tables.recomputed(spark, path).count() == 5
