@@ -116,6 +116,8 @@ EARLIEST_DOB = "1900-01-01"
 SPINE_BOUNDS = ("2015-01-01", "2025-12-31")
 LATE_HORIZON = "24 hours"
 MAX_FILES_PER_TRIGGER = 1000
+# Ours: the reads of stored tables have a limit too.
+MAX_BYTES_PER_TRIGGER = 256 << 30
 
 # --- Fixed values: stored columns of the dimensions -------------------------------------------
 DIM_CUSTOMER_COLUMNS = [

@@ -233,7 +233,7 @@ def sink_partitioned_append(spark, sf_dir):
     tables.refresh(rows, source)
     stream = tables.changes(spark, source, rows.schema)
     runs.append(stream, f"{target}/_checkpoints", f"{target}/table", ["order_year"])
-    stored = tables.snapshot(spark, f"{target}/table", rows.schema)
+    stored = tables.batches(spark, f"{target}/table", rows.schema)
     return stored.groupBy("order_year").agg(
         F.count(F.lit(1)).alias("n"), M.total("sales").alias("sales")
     )
@@ -241,11 +241,11 @@ def sink_partitioned_append(spark, sf_dir):
 
 @registered
 def sink_recompute(spark, sf_dir):
-    """A table written twice holds one result."""
-    target = scratch_folder(spark, "recomputed")
-    for _ in range(2):
-        tables.refresh(kpi_region_category(spark, sf_dir), target)
-    return tables.snapshot(spark, target)
+    """A table computed twice holds one result, that of the second time."""
+    target, kpis = scratch_folder(spark, "recomputed"), kpi_region_category(spark, sf_dir)
+    tables.recompute(kpis.withColumn("total_sales", F.lit(0.0)), target)
+    tables.recompute(kpis, target)
+    return tables.recomputed(spark, target)
 
 
 # -- projections, filters, scalar expressions --------------------------------------------------
@@ -558,7 +558,7 @@ def _streamed(spark, rows: DataFrame, transform, label: str) -> DataFrame:
     tables.refresh(rows, source)
     stream = transform(tables.changes(spark, source, rows.schema, maxFilesPerTrigger="1000"))
     runs.append(stream, f"{target}/_checkpoints", f"{target}/table")
-    return tables.snapshot(spark, f"{target}/table", stream.schema)
+    return tables.batches(spark, f"{target}/table", stream.schema)
 
 
 @registered
@@ -685,6 +685,7 @@ def scd2_incremental_equals_full(spark, sf_dir):
     history = History(
         f"{target}/table", ["user_id"], "ts", ["user_id", "event_type"], events.schema
     )
+    history.create(spark)
     late = F.coalesce(F.col("value") >= 50, F.lit(False))
     for part in (events.filter(~late), events.filter(late)):
         part.write.mode("append").parquet(source)

@@ -9,21 +9,81 @@ the rescue column, and the row survives.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry import contracts as C
 
 _BROKEN_LINE = "_broken_line"
-_HEADER_READERS = 16
+_FIRST_LINE = "line string, file string, start long"
 
 
-def file_header(spark: SparkSession, path: str, **options: str) -> tuple[str, ...]:
-    """Column names of one file; Spark fetches its first line only."""
-    return tuple(spark.read.options(header=True, **options).csv(path).columns)
+def _one_file_per_task(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark``, in which a scan packs no files together and rows reach
+    Python one by one, so that a task which has seen one line need not read on."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    return session
+
+
+def _first(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line of a split, if it is that of the file."""
+    for batch in rows:
+        if batch.num_rows:
+            if batch.column("start")[0].as_py() == 0:
+                yield batch.slice(0, 1)
+            return
+
+
+def _place(path: str) -> str:
+    """A path without its scheme and authority, which its readers spell in different ways."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The first line of each file that has one, blank lines aside, compressed files included.
+
+    One job over all paths. Each task opens a file and returns its first line, without reading on. Lines
+    are read as UTF-8.
+    """
+    lines = (
+        _one_file_per_task(spark).read.text(list(paths)).filter(F.trim("value") != "")
+        .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("start"))
+        .mapInArrow(_first, _FIRST_LINE)
+    )
+    given = {_place(path): path for path in paths}
+    found = {}
+    for row in lines.collect():  # one line per file of a trigger
+        place = _place(row.file)
+        found[given.get(place) or given[unquote(place)]] = row.line
+    return found
+
+
+def header_of(line: str, **options: str) -> tuple[str, ...]:
+    """Column names in a header line. As in Spark, a blank name is replaced by its place, and names
+    that repeat, whatever their case, are told apart by it."""
+    named = {key.lower(): value for key, value in options.items()}
+    quote = named.get("quote", '"')
+    titles = next(csv.reader(
+        [line], delimiter=named.get("sep") or named.get("delimiter") or ",", quotechar=quote or None,
+        quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE, escapechar=named.get("escape", "\\"), doublequote=True))
+    times = Counter(title.lower() for title in titles)
+    return tuple(
+        f"_c{i}" if not title else f"{title}{i}" if times[title.lower()] > 1 else title
+        for i, title in enumerate(titles)
+    )
 
 
 def by_header(
@@ -31,12 +91,11 @@ def by_header(
 ) -> dict[tuple[str, ...], list[str]]:
     """Paths grouped by header. ``paths`` are the files of one trigger, so their number is capped
     by the trigger; what reaches the driver is one line per file."""
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        headers = list(pool.map(lambda p: file_header(spark, p, **options), paths))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        if header:
-            groups.setdefault(header, []).append(path)
+    lines = first_lines(spark, paths) if paths else {}
+    for path in paths:
+        if path in lines:
+            groups.setdefault(header_of(lines[path], **options), []).append(path)
     return groups
 
 

@@ -63,6 +63,12 @@ def recompute(df: DataFrame, path: str) -> None:
     commit(spark.range(1).select(F.lit(slot).alias("slot")), commits, number + 1)
 
 
+def computed(spark: SparkSession, path: str) -> bool:
+    """Whether a ``recompute`` of the table has finished."""
+    commits = f"{path}/commits"
+    return exists(spark, commits) and last_commit(spark, commits, _SLOT, 1)[0] >= 0
+
+
 def recomputed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table that the last finished ``recompute`` has left."""
     _, rows = last_commit(spark, f"{path}/commits", _SLOT, 1)
@@ -114,8 +120,8 @@ def write_batch(
 ) -> None:
     """Write the folder of one batch, replacing what an earlier attempt left.
 
-    The rows stay where they are: a batch falls into one or two time partitions, and tasks sized by
-    the scan write files of a good size without a shuffle.
+    The rows stay where they are: where a batch falls into one or two time partitions, tasks sized by
+    the scan write files of a good size without a shuffle. Others are ``balanced`` first.
     """
     target = f"{path}/{BATCH}={batch_id}"
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)

@@ -20,7 +20,7 @@ from basketry.sources import tables
 from basketry.streaming import cleansing, ingest
 from basketry.streaming.firsts import FirstSeen
 from basketry.streaming.history import History
-from basketry.streaming.runs import append, finish, start_append, start_batches
+from basketry.streaming.runs import drain, finish, start_append, start_batches
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,8 @@ class Lakehouse:
     max_files: int = C.MAX_FILES_PER_TRIGGER
     first_seen_dimensions: bool = False
     order_salts: int = 1
+    #: Bytes of a table that one trigger takes up, in every stream of a run.
+    max_bytes: int = C.MAX_BYTES_PER_TRIGGER
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -44,19 +46,23 @@ class Lakehouse:
 
     # -- reading -----------------------------------------------------------------------------
     def bronze_changes(self, spark: SparkSession) -> DataFrame:
-        return tables.batch_changes(spark, self.path(C.BRONZE_SALES), ingest.bronze_schema())
+        return self._changes(spark, C.BRONZE_SALES, ingest.bronze_schema())
+
+    def _changes(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+        """What is new in a stored table, in triggers of bounded size: a backlog becomes several batches."""
+        return tables.batch_changes(spark, self.path(table), schema, maxBytesPerTrigger=self.max_bytes)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if table == C.BRONZE_SALES:
             return tables.batches(spark, self.path(table), ingest.bronze_schema())
         if table == C.BRONZE_QUARANTINE:
             return tables.batches(spark, self.path(table), ingest.quarantine_schema())
-        if table in (C.SILVER_CUSTOMERS, C.SILVER_PRODUCTS):
-            return tables.batches(spark, self.path(table), self.stored_schema(spark, table))
         if table in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             return self.history(spark, table).read(spark)
         stored = self.stored_schema(spark, table)
-        rows = tables.snapshot(spark, self.path(table), stored)
+        if stored is not None:
+            return tables.batches(spark, self.path(table), stored)
+        rows = tables.recomputed(spark, self.path(table))
         return rows.orderBy(*kpi.PRESENTATION_ORDER[table]) if table in kpi.PRESENTATION_ORDER else rows
 
     def stored_schema(self, spark: SparkSession, table: str) -> T.StructType | None:
@@ -108,8 +114,8 @@ class Lakehouse:
             tables.create(spark, self.path(name), schema)
         for name in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             self.history(spark, name).create(spark)
-        if not tables.exists(spark, self.path(C.DIM_DATE)):
-            tables.refresh(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
+        if not tables.computed(spark, self.path(C.DIM_DATE)):
+            tables.recompute(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
         # The schema of the fact comes from the dimensions, so they are made before it.
         tables.create(spark, self.path(C.FACT_SALES), self.stored_schema(spark, C.FACT_SALES))
 
@@ -158,10 +164,10 @@ class Lakehouse:
             start_batches(feed, self.checkpoint(name), self.history(spark, name).upsert)
             for name, feed in feeds.items()
         )
-        tables.refresh(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
+        tables.recompute(date_spine(spark, *self.spine), self.path(C.DIM_DATE))
 
     def _silver_changes(self, spark: SparkSession, table: str) -> DataFrame:
-        return tables.batch_changes(spark, self.path(table), self.stored_schema(spark, table))
+        return self._changes(spark, table, self.stored_schema(spark, table))
 
     def _no_orders(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([], self.stored_schema(spark, C.SILVER_ORDERS))
@@ -177,19 +183,18 @@ class Lakehouse:
         return Q.abort_on_violation(joined, R.FACT_RULES)
 
     def run_fact(self, spark: SparkSession) -> None:
-        """Append the new orders, joined with the dimensions as they are at the start of the run."""
-        schema = self.stored_schema(spark, C.SILVER_ORDERS)
-        orders = tables.changes(spark, self.path(C.SILVER_ORDERS), schema)
-        append(
-            self._fact(spark, orders),
-            self.checkpoint(C.FACT_SALES),
-            self.path(C.FACT_SALES),
-            C.TABLES[C.FACT_SALES].partition_by,
-        )
+        """Append the new orders, each batch joined with the dimensions as they are when it comes."""
+        path, by = self.path(C.FACT_SALES), C.TABLES[C.FACT_SALES].partition_by
+
+        def each_batch(orders: DataFrame, batch_id: int) -> None:
+            fact = self._fact(orders.sparkSession, orders)
+            tables.write_batch(tables.balanced(fact, by), path, batch_id, by)
+
+        drain(self._silver_changes(spark, C.SILVER_ORDERS), self.checkpoint(C.FACT_SALES), each_batch)
 
     def run_kpis(self, spark: SparkSession) -> None:
         fact = self.read(spark, C.FACT_SALES)
         unique = self.order_mode == cleansing.GLOBAL
         for name, build in kpi.KPI_TABLES.items():
             table = kpi.stamped(build(fact, unique))
-            tables.refresh(table, self.path(name))
+            tables.recompute(table, self.path(name))

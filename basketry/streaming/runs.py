@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from basketry.sources import tables
+
 
 def start_batches(
     stream: DataFrame,
@@ -31,15 +33,17 @@ def start_batches(
 def start_append(
     stream: DataFrame, checkpoint: str, path: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
-    """Append the new rows to a Parquet table, exactly once."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy(*partition_by)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    """Append the new rows to a table of batch folders (``tables.batches`` reads it), exactly once: a
+    batch that is run again replaces its folder.
+
+    Rows are rebalanced by the partition columns, so a batch has one file per partition of ordinary
+    size, however many tasks made its rows, and several where a partition is large.
+    """
+
+    def each_batch(batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(tables.balanced(batch, partition_by), path, batch_id, partition_by)
+
+    return start_batches(stream, checkpoint, each_batch)
 
 
 def finish(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:

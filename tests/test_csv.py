@@ -158,3 +158,47 @@ def test_files_of_any_name_are_loaded(spark, folder):
     ingest.load(spark, landing, f"{folder}/table", f"{folder}/check")
     stored = tables.batches(spark, f"{folder}/table", sales_csv.feed_with_lineage_schema())
     assert sorted(r.order_id for r in stored.collect()) == ["O-0", "O-1", "O-2", "O-3", "O-9"]
+
+
+def test_headers_of_many_files_take_one_job(spark, folder):
+    def jobs(paths):
+        context, group = spark.sparkContext, f"headers-{len(paths)}"
+        context.setJobGroup(group, group)
+        try:
+            groups = sales_csv.by_header(spark, paths)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return groups, len(context.statusTracker().getJobIdsForGroup(group))
+
+    paths = []
+    for n in range(40):
+        headers = HEADERS[::-1] if n % 3 else HEADERS
+        paths.append(write(folder, f"{n} ä%25.csv", [SAMPLE] * n, headers))
+    for path in paths[:9]:
+        with open(path, "rb") as plain, gzip.open(f"{path}.gz", "wb") as packed:
+            packed.write(b"\n \n" + plain.read())
+        paths.append(f"{path}.gz")
+    few, once = jobs(paths[:3])
+    many, again = jobs(paths)
+    assert once == 1 and again <= 2  # Spark lists more than 32 paths in a job of its own
+    assert {h: len(p) for h, p in many.items()} == {tuple(HEADERS): 17, tuple(HEADERS[::-1]): 32}
+    assert sorted(p for ps in many.values() for p in ps) == sorted(paths) and len(few) == 2
+
+
+def test_only_the_first_line_of_a_large_file_is_read(spark, folder):
+    path = write(folder, "large.csv", [SAMPLE])
+    with open(path, "ab") as out:
+        out.write(b"\xff\xfe" * 30_000_000 + b"\n")  # several splits, which would be read in full otherwise
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    assert sales_csv.first_lines(session, [path]) == {path: ",".join(HEADERS)}
+
+
+@pytest.mark.parametrize("line, options", [
+    ("a,b,c", {}), ('"a,b",c', {}), ("a;b", {"sep": ";"}), ("a,,A,b", {}), ("x\ty", {"delimiter": "\t"}),
+    ("'a,b',c", {"quote": "'"}), (" a, b ", {}), ("a,a,a", {}), ("one", {})])
+def test_header_lines_are_read_as_spark_does(spark, folder, line, options):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/h.csv", "w") as out:
+        out.write(f"{line}\n")
+    assert list(sales_csv.header_of(line, **options)) == spark.read.options(header=True, **options).csv(f"{folder}/h.csv").columns

@@ -340,3 +340,62 @@ def test_a_failed_recompute_leaves_the_table(spark, folder):
     assert tables.recomputed(spark, path).count() == 4
     tables.recompute(spark.range(5), path)
     assert tables.recomputed(spark, path).count() == 5
+
+
+def test_an_appended_batch_has_few_files_and_can_run_again(spark, folder):
+    rows = spark.range(0, 4000, 1, 64).selectExpr("id", "cast(2018 + id % 4 as string) as order_year")
+    rows.write.parquet(f"{folder}/in")
+    stream = tables.changes(spark, f"{folder}/in", rows.schema)
+    runs.append(stream, f"{folder}/_c", f"{folder}/out", ["order_year"])
+    files = _files(f"{folder}/out")
+    assert len(files) <= 2 * 4  # 64 tasks, four years
+    stored = tables.batches(spark, f"{folder}/out", rows.schema)
+    assert stored.count() == 4000 and dict(stored.dtypes)["order_year"] == "string"
+    # The sink has written the batch, the checkpoint has not noted it: it runs again.
+    commits = f"{folder}/_c/commits"
+    for name in os.listdir(commits):
+        os.remove(os.path.join(commits, name))
+    runs.append(stream, f"{folder}/_c", f"{folder}/out", ["order_year"])
+    assert tables.batches(spark, f"{folder}/out", rows.schema).count() == 4000
+
+
+def test_a_backlog_becomes_several_batches(spark, folder):
+    counts = []
+    for name, limit in (("one", 1 << 30), ("many", 1)):
+        house = Lakehouse(f"{folder}/landing", f"{folder}/{name}", max_files=1, max_bytes=limit)
+        for n in range(3):
+            write(house.landing, f"{n}.csv", [_order(n)])
+        house.run(spark, _at(0))
+        batches = {f.split("batch=")[1].split("/")[0] for f in _files(house.path(C.SILVER_QUARANTINE)) if "batch=" in f}
+        counts.append((len(batches), sorted(r.order_id for r in house.read(spark, C.FACT_SALES).collect())))
+    assert counts[0] == (1, ["O-0", "O-1", "O-2"]) and counts[1][0] >= 3 and counts[1][1] == counts[0][1]
+
+
+def test_each_batch_sees_the_dimensions_of_its_time(spark, folder, monkeypatch):
+    """A customer moves while the orders of a run are being joined."""
+    house = Lakehouse(f"{folder}/landing", f"{folder}/tables", max_files=1, max_bytes=1)
+    for n in (1, 2):
+        write(house.landing, f"{n}.csv", [_order(n)])
+    house.prepare(spark)
+    house.run_bronze(spark, _at(0))
+    house.run_silver(spark)
+    house.run_dimensions(spark)
+    joined, plain = [], Lakehouse._fact
+
+    def moving(self, session, orders):
+        if joined:
+            feed = self.read(spark, C.BRONZE_SALES).limit(1).withColumn("region", F.lit("West")).withColumn(C.INGESTED_AT, _at(5))
+            from basketry.plans import gold
+
+            self.history(spark, C.DIM_CUSTOMER).upsert(gold.customer_feed(feed), 1000)
+        joined.append(1)
+        return plain(self, session, orders)
+
+    house.stored_schema(spark, C.FACT_SALES)
+    monkeypatch.setattr(Lakehouse, "stored_schema", (lambda f: lambda self, s, t: f(self, s, t))(Lakehouse.stored_schema))
+    schema = house.stored_schema(spark, C.FACT_SALES)
+    monkeypatch.setattr(Lakehouse, "_fact", moving)
+    house.run_fact(spark)
+    assert len(joined) == 2
+    rows = tables.batches(spark, house.path(C.FACT_SALES), schema).collect()
+    assert sorted(r.region for r in rows) == ["East", "West"]
