@@ -30,11 +30,12 @@ from basketry.sources import tables
 # Greatest sequence seen of a key, kept with its open version.
 LAST_SEEN = "_last_seen"
 BUCKET = "_bucket"
-# Buckets of a history: each is rewritten as a whole, and the commit has one row for each.
-BUCKETS = 64
+# Buckets of a history: each is rewritten as a whole, and the commit has one row for each. Give a large
+# dimension more of them, before its first batch.
+BUCKETS = 16
 _SLOTS = T.StructType([T.StructField(n, T.IntegerType()) for n in (BUCKET, "slot")])
-# A row of every commit, so that one without buckets is seen.
-_NO_BUCKET = -1
+# A row of every commit, so that one without buckets is seen; it holds their number.
+_ALL = -1
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,10 @@ class History:
     def _slots(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
         """The current slot of each bucket that has one; ``buckets`` entries at most."""
         _, rows = tables.last_commit(spark, self._commits, _SLOTS, self.buckets + 1, before)
-        return {row[BUCKET]: row["slot"] for row in rows if row[BUCKET] != _NO_BUCKET}
+        slots = {row[BUCKET]: row["slot"] for row in rows}
+        if slots.pop(_ALL, self.buckets) != self.buckets:
+            raise ValueError(f"{self.root} was not written with {self.buckets} buckets")
+        return slots
 
     def _versions(self, spark: SparkSession, slots: dict[int, int]) -> DataFrame:
         paths = [f"{self.root}/versions/{BUCKET}={b}/slot={s}" for b, s in sorted(slots.items())]
@@ -161,7 +165,7 @@ class History:
                 tables.balanced(written, [BUCKET]).withColumn("slot", now),
                 f"{self.root}/versions", [BUCKET, "slot"],
             )
-        named = [(_NO_BUCKET, 0), *sorted((slots | turned).items())]
+        named = [(_ALL, self.buckets), *sorted((slots | turned).items())]
         tables.commit(spark.createDataFrame(named, _SLOTS), self._commits, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:

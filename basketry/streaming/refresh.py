@@ -19,7 +19,7 @@ from basketry.plans import gold, kpi, rules as R, silver
 from basketry.sources import tables
 from basketry.streaming import cleansing, ingest
 from basketry.streaming.firsts import FirstSeen
-from basketry.streaming.history import History
+from basketry.streaming.history import BUCKETS, History
 from basketry.streaming.runs import drain, finish, start_append, start_batches
 
 
@@ -35,6 +35,7 @@ class Lakehouse:
     max_files: int = C.MAX_FILES_PER_TRIGGER
     first_seen_dimensions: bool = False
     order_salts: int = 1
+    dimension_buckets: int = BUCKETS
     #: Bytes of a table that one trigger takes up, in every stream of a run.
     max_bytes: int = C.MAX_BYTES_PER_TRIGGER
 
@@ -87,7 +88,8 @@ class Lakehouse:
             feed, keys, columns = gold.customer_feed(empty), gold.CUSTOMER_KEY, C.DIM_CUSTOMER_COLUMNS
         else:
             feed, keys, columns = gold.product_feed(empty), gold.PRODUCT_KEY, C.DIM_PRODUCT_COLUMNS
-        return History(self.path(table), keys, C.INGESTED_AT, columns, feed.schema)
+        return History(self.path(table), keys, C.INGESTED_AT, columns, feed.schema,
+                       buckets=self.dimension_buckets)
 
     # -- running -----------------------------------------------------------------------------
     def run(self, spark: SparkSession, ingested_at: Column | None = None) -> None:

@@ -297,6 +297,9 @@ def test_a_batch_rewrites_the_buckets_of_its_keys_only(spark, folder):
     last = _files(versions)
     history.upsert(empty, 3)
     assert _files(versions) == last and history.read(spark).count() == 202
+    other = History(f"{folder}/h", ["k"], "t", ["k", "a"], empty.schema, buckets=8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        other.read(spark)
 
 
 def test_a_failed_batch_leaves_the_history(spark, folder, monkeypatch):
