@@ -1,7 +1,7 @@
 """URL filtering by association rules (operator 3), with DataFrame and SQL functions only.
 
-Given rules judge what they fit. From their verdicts as labels, combinations of URL tokens (host
-labels, path segments, query keys) are mined level by level. A mined rule says that URLs with
+Given rules judge what they fit. With their verdicts as labels, Spark's FP-growth mines combinations of
+URL tokens (host labels, path segments, query keys). A mined rule says that URLs with
 all its tokens are allowed, or blocked. Rules are pruned by support and confidence, and where a
 part of their tokens says as much with no less confidence. An inverted index of the rules, by their
 rarest token, finds those that fit the other URLs; the most confident one decides, or ``default``.
@@ -9,9 +9,10 @@ rarest token, finds those that fit the other URLs; the most confident one decide
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +21,7 @@ from basketry.llm.shared import staged
 #: Share of the labelled URLs that hold a rule's tokens and its verdict, at least.
 SUPPORT = 0.005
 CONFIDENCE = 0.9
-#: Tokens of the rules that the tests' brute force goes through; mining has no limit.
-TOKENS = 3
-#: Tokens of one URL that enter mining: None is all.
-MINED_TOKENS = None
 DEFAULT = "allow"
-VERDICTS = ("allow", "block")
 
 
 @dataclass(frozen=True)
@@ -72,78 +68,100 @@ def _best_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return found
 
 
-def _longer(level: dict[tuple[str, ...], tuple], place: dict[str, int]) -> list[tuple[list[str], list[str]]]:
-    """Sets of one token more whose every part is in ``level``: (set, tokens that may be added to it)."""
-    alike = defaultdict(list)
-    for held in level:
-        alike[held[:-1]].append(held[-1])
-    out = []
-    for head, lasts in alike.items():
-        lasts.sort(key=place.get)
-        for i, last in enumerate(lasts):
-            more = [t for t in lasts[i + 1:]
-                    if all((*head[:j], *head[j + 1:], last, t) in level for j in range(len(head)))]
-            if more:
-                out.append(([*head, last], more))
-    return out
+def _kinds(urls: DataFrame, need: float) -> DataFrame:
+    """(name, members, n, blocks) of the tokens with support, those held by the same URLs as one kind.
+
+    Sets of URLs are told apart by their sizes and 128 bits of hashes of their members.
+    """
+    return (
+        urls.select("url", "verdict", F.explode("tokens").alias("token"))
+        .groupBy("token").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "block").alias("blocks"),
+            F.bit_xor(F.xxhash64("url")).alias("one"), F.bit_xor(F.xxhash64("url", F.lit("other"))).alias("other"))
+        .filter(F.greatest("blocks", F.col("n") - F.col("blocks")) >= need)
+        .groupBy("n", "blocks", "one", "other")
+        .agg(F.min("token").alias("name"), F.collect_list("token").alias("members"))
+        .select("name", "members", "n", "blocks")
+    )
+
+
+def _frequent_sets(urls: DataFrame, names: DataFrame, support: float) -> DataFrame:
+    """(held, verdict, said, n): FP-growth's sets of two names and more, with the verdict they share.
+
+    A transaction is the names of a URL and its verdict, so both counts are of whole URLs.
+    """
+    tokens = urls.select("url", "verdict", F.explode_outer("tokens").alias("name"))
+    transactions = (
+        tokens.join(names.withColumn("item", F.concat(F.lit("t"), "name")), "name", "left")
+        .groupBy("url", "verdict").agg(F.collect_list("item").alias("items"))
+        .select(F.array_append("items", F.concat(F.lit("v"), "verdict")).alias("items"))
+    )
+    model = FPGrowth(itemsCol="items", minSupport=support).fit(transactions)
+    of = lambda mark: F.transform(
+        F.filter("items", lambda i: i.startswith(mark)), lambda i: F.substr(i, F.lit(2)))
+    found = staged(
+        model.freqItemsets.select(F.array_sort(of("t")).alias("held"), F.get(of("v"), 0).alias("verdict"), "freq")
+        .filter(F.size("held") > 1), "frequent-sets")
+    said = found.filter("verdict is not null").withColumnRenamed("freq", "said")
+    return said.join(found.filter("verdict is null").select("held", F.col("freq").alias("n")), "held")
+
+
+def _every_choice(members: Column) -> Column:
+    """All arrays that take one token of each of ``members``."""
+    return F.aggregate(
+        members, F.array(F.array().cast("array<string>")),
+        lambda begun, kind: F.flatten(F.transform(begun, lambda b: F.transform(kind, lambda t: F.array_append(b, t)))))
 
 
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(antecedent, verdict, confidence, support) from a table (tokens, verdict) of labelled URLs.
 
-    Support is the share of the labelled URLs that hold the antecedent and the verdict. All counts are
-    of whole URLs. A rule is idle if a part of its tokens has the same verdict with no less confidence.
+    Support, above 0, is the share of the labelled URLs that hold the antecedent and the verdict. All
+    counts are of whole URLs. A rule is idle if a part of its tokens has the same verdict with no less
+    confidence; idle rules are left out, and no others.
 
-    Sets of tokens are counted level by level, one token more each time. A set is extended only if it
-    has support, both verdicts, and fewer URLs than each of its parts: what holds any other set is idle
-    or lacks support. The driver holds one level, of at most (sets in a URL / support) sets.
+    Three kinds of sets can hold idle rules only and are kept from FP-growth, whose work doubles with each
+    token of a URL: those with two tokens that the same URLs hold (one stands for both, and the
+    rules are written out for each), with a token that all URLs hold, and with a token of one verdict only.
     """
-    spark = labelled.sparkSession
-    schema = "antecedent array<string>, verdict string, confidence double, support double"
     total = labelled.count()
     if not total:
-        return spark.createDataFrame([], schema)
-    counts = [F.sum("n").alias("n"), F.sum("blocks").alias("blocks")]
-    enough = F.greatest("blocks", F.col("n") - F.col("blocks")) >= support * total
+        return labelled.select(F.col("tokens").alias("antecedent"), "verdict", F.lit(0.0).alias("confidence"),
+                               F.lit(0.0).alias("support")).filter(F.lit(False))
+    urls = staged(labelled.select(F.monotonically_increasing_id().alias("url"), "verdict",
+                                  F.array_distinct("tokens").alias("tokens")), "labelled")
+    kinds = staged(_kinds(urls, support * total), "token-kinds")
+    telling = F.col("said") / F.col("n")
     single = (
-        labelled.select(F.explode("tokens").alias("token"), F.lit(1).alias("n"),
-                        (F.col("verdict") == "block").cast("long").alias("blocks"))
-        .groupBy("token").agg(*counts).filter(enough).orderBy("n", "token").collect()
+        kinds.select(F.array("name").alias("held"), "n", F.explode(F.create_map(
+            F.lit("allow"), F.col("n") - F.col("blocks"), F.lit("block"), F.col("blocks"))).alias("verdict", "said"))
+        .filter(F.col("said") >= support * total)
+        .select("held", "verdict", "said", "n", F.lit(0.0).alias("before"), telling.alias("best"))
+    )
+    mixed = kinds.filter((F.col("blocks") > 0) & (F.col("blocks") < F.col("n")) & (F.col("n") < total)).select("name")
+    sets = staged(_frequent_sets(urls, mixed, support), "rule-sets")
+    longest = sets.agg(F.max(F.size("held"))).first()[0] or 1
+    # The best confidence among the parts of a set is handed on from size to size.
+    levels = [single]
+    for size in range(2, longest + 1):
+        parts = levels[-1].select(F.col("held").alias("part"), "verdict", F.col("best").alias("before"))
+        levels.append(staged(
+            sets.filter(F.size("held") == size)
+            .withColumn("part", F.explode(F.transform("held", lambda t: F.array_remove("held", t))))
+            .join(parts, ["part", "verdict"])
+            .groupBy("held", "verdict", "said", "n").agg(F.max("before").alias("before"))
+            .withColumn("best", F.greatest("before", telling)), f"rules-{size}"))
+    rules = staged(
+        reduce(DataFrame.unionByName, levels).filter((telling >= confidence) & (telling > F.col("before")))
+        .withColumn("id", F.monotonically_increasing_id()), "kept-rules")
+    members = (
+        rules.select("id", F.explode("held").alias("name")).join(kinds.select("name", "members"), "name")
+        .groupBy("id").agg(F.collect_list("members").alias("members"))
     )
-    # The rarest token first: sets grow from few URLs.
-    place = {r["token"]: i for i, r in enumerate(single)}
-    found = [((r["token"],), r["n"], r["blocks"]) for r in single]
-    urls, rules, level = None, [], {}
-    while found:
-        size, shorter, level = len(found[0][0]), level, {}
-        for held, n, blocks in found:
-            parts = [shorter[held[:i] + held[i + 1:]] for i in range(size)] if size > 1 else []
-            if any(part[0] == n for part in parts):
-                continue
-            best = []
-            for i, (verdict, count) in enumerate(zip(VERDICTS, (n - blocks, blocks), strict=True)):
-                before = max((part[1][i] for part in parts), default=0.0)
-                if count >= support * total and count / n >= confidence and count / n > before:
-                    rules.append((sorted(held), verdict, count / n, count / total))
-                best.append(max(before, count / n))
-            if 0 < blocks < n:
-                level[held] = n, best
-        candidates = _longer(level, place)
-        if not candidates:
-            break
-        if urls is None:
-            items = F.array_intersect(F.lit(list(place)), F.col("tokens"))
-            urls = (
-                labelled.select(items.alias("items"), F.lit(1).alias("n"), (F.col("verdict") == "block").cast("long").alias("blocks"))
-                .groupBy("items").agg(*counts).withColumn("held", F.explode(F.transform("items", lambda t: F.array(t)))))
-        listed = spark.createDataFrame(candidates, "held array<string>, more array<string>")
-        urls = staged(
-            urls.join(F.broadcast(listed), "held")
-            .withColumn("last", F.explode(F.array_intersect("more", "items")))
-            .select("items", "n", "blocks", F.array_append("held", F.col("last")).alias("held")), f"mined-{size + 1}")
-        found = [(tuple(r["held"]), r["n"], r["blocks"])
-                 for r in urls.groupBy("held").agg(*counts).filter(enough).collect()]
-    return spark.createDataFrame(rules, schema)
+    return rules.join(members, "id").select(
+        F.explode(_every_choice(F.col("members"))).alias("antecedent"), "verdict", telling.alias("confidence"),
+        (F.col("said") / total).alias("support")
+    ).withColumn("antecedent", F.array_sort("antecedent"))
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id", url_col: str = "url",

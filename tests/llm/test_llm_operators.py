@@ -195,8 +195,8 @@ def brute_judged(rows):
     place = {t: i for i, t in enumerate(frequent)}
     holds, says = Counter(), Counter()
     for tokens, verdict in known:
-        items = sorted((t for t in tokens if t in place), key=place.get)[:url_rules.MINED_TOKENS]
-        for k in range(1, url_rules.TOKENS + 1):
+        items = [t for t in tokens if t in place]
+        for k in range(1, len(items) + 1):
             for part in itertools.combinations(sorted(items), k):
                 holds[part] += 1
                 says[(part, verdict)] += 1
@@ -287,6 +287,24 @@ def test_url_plan_has_no_python(spark, capsys):
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
 
 
+def test_url_rules_need_no_python_in_the_workers(spark, monkeypatch):
+    source = table(spark, SF_SMALL, "pages")
+    expected = Counter(map(str, url_rules.judged(source).collect()))
+    monkeypatch.setattr(spark.sparkContext, "pythonExec", "/no/such/python")
+    with pytest.raises(Exception):  # noqa: B017
+        spark.sparkContext.parallelize([1]).map(str).collect()
+    assert Counter(map(str, url_rules.judged(source).collect())) == expected
+    assert url_rules.judged(source.filter("false")).count() == 0
+
+
+def test_url_kinds_of_mixed_tokens_do_not_explode(spark):
+    # Forty query keys that always come together, with both verdicts; with "k" they block.
+    keys = tuple(f"q{i:02d}" for i in range(40))
+    known = [((*keys, "k"), "block")] * 20 + [(keys, "allow")] * 20 + [(("k",), "allow")] * 20 + [((), "allow")] * 5
+    found = mined(spark, known)
+    assert found == {((*sorted((q, "k")),), "block", 1.0, 20 / 65) for q in keys}
+
+
 # --- mixing ---
 
 def test_apportionment_is_by_highest_quotients():
