@@ -3,8 +3,8 @@
 A text is read once. White space is collapsed, the text is cut where its own content says so, and
 each chunk is named by a 64-bit hash. The names are verified: a name that stands for two contents
 (seen by 120 bits of SHA-256 and the length) is replaced by one that tells them apart. A document is
-then its recipe, the ordered list of chunk names, and equal recipes are compared instead of texts.
-The SHA-256 of the whole text joins the comparison, so that no chance match of names merges texts.
+then its recipe, the ordered list of chunk names, and rows with equal recipes are one group.
+The SHA-256 of the whole text decides nothing; should it differ within a group, the query fails.
 
 Long texts stay where they are: what moves is about 32 bytes per chunk.
 """
@@ -45,12 +45,13 @@ def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     chunks = read.select("row", F.posexplode("chunks").alias("place", "chunk")).select(
         "row", "place", "chunk.*")
     spans = [(F.min(c).alias(f"{c}_0"), F.max(c).alias(f"{c}_1")) for c in ("high", "low", "length")]
-    shared_names = (
+    shared_names = staged(
         chunks.groupBy("name").agg(*[x for pair in spans for x in pair])
-        .filter("high_0 <> high_1 or low_0 <> low_1 or length_0 <> length_1").select("name")
-    )
+        .filter("high_0 <> high_1 or low_0 <> low_1 or length_0 <> length_1").select("name"), "shared-names")
+    if shared_names.isEmpty():
+        return read.select("row", "doc_id", "text_sha256", F.col("chunks.name").alias("recipe"))
     renamed = (
-        chunks.join(shared_names, "name")
+        split_join(chunks, shared_names, ["name"])
         .groupBy("row")
         .agg(F.map_from_entries(F.collect_list(F.struct(
             "place", F.xxhash64("name", "high", "low", "length")))).alias("other"))
@@ -69,12 +70,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gives an empty result. Other columns of ``docs`` are ignored.
     """
     listed = recipes(docs, id_col, text_col)
-    groups = listed.groupBy("recipe", "text_sha256").agg(
+    groups = listed.groupBy("recipe").agg(
         F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"),
-        F.count(F.lit(1)).alias("group_size"))
-    return split_join(listed, groups, ["recipe", "text_sha256"]).select(
+        F.count(F.lit(1)).alias("group_size"), F.min("text_sha256").alias("digest"))
+    mixed = F.raise_error(F.lit("texts that differ have the same recipe")).cast("string")
+    return split_join(listed, groups, ["recipe"]).select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
+        (F.col("row") == F.col("first.row")).alias("kept"),
+        F.when(F.col("text_sha256") == F.col("digest"), F.col("text_sha256")).otherwise(mixed).alias("text_sha256"))
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

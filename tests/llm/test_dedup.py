@@ -49,6 +49,21 @@ def test_exact_names_that_collide_are_told_apart(spark, monkeypatch):
     assert found.count() == found.select("recipe").distinct().count() == found.select("text_sha256").distinct().count()
 
 
+def test_exact_names_that_collide_merge_nothing(spark, monkeypatch):
+    real = exact_dedup._chunk
+    monkeypatch.setattr(exact_dedup, "_chunk", lambda part: real(part).withField("name", F.length(part) % 2))
+    found = exact_dedup.exact_duplicates(documents(spark)).collect()
+    assert Counter(map(tuple, found)) == exact_brute(document_rows())
+
+
+def test_exact_groups_are_those_of_the_recipe(spark, monkeypatch):
+    # Recipes that say too little must be noticed: the digest of the text only checks them.
+    monkeypatch.setattr(exact_dedup, "_chunk", lambda part: F.struct(
+        F.lit(1).cast("long").alias("name"), *[F.lit(0).cast("long").alias(c) for c in ("high", "low", "length")]))
+    with pytest.raises(Exception, match="same recipe"):
+        exact_dedup.exact_duplicates(documents(spark)).collect()
+
+
 def test_exact_chunks_follow_content(spark):
     text = ". ".join(prose(i, 60) for i in range(40))
     rows = [(1, text, None, None, 0), (2, "An added sentence stands first. " + text, None, None, 0)]
