@@ -5,7 +5,9 @@ source's size, and the excess is shared again. The mix is made of blocks of equa
 the sources by highest quotients (target / 1, 3, 5, ...), which yields integer quotas; a source at its
 limit is taken whole. Documents are dealt by hash into shards of bounded size. The documents of a source
 form one line through all shards, in seeded order, cut into blocks; every block is taken equally often,
-and the seed picks those taken once more. So nothing is rounded by shard.
+and some once more. A block belongs to the shard it begins in. The quota of a shard is what the seats of
+its source between the blocks up to its end and those after gain over the same at its start, so quotas are
+integers that add up to the source's seats, however short the texts. The seed picks that many of a shard's blocks.
 
 One shuffle of small rows, and one of the words of each source in each shard, whose running sum says
 where in the line a shard begins. No task holds more than a shard, whatever the size of a source.
@@ -28,8 +30,6 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS = 16
 ROWS_PER_SHARD = 2048
-#: Blocks among which the seed picks at a time.
-STRETCH = 1024
 SEED = 20240607
 
 
@@ -98,40 +98,59 @@ def quotas(sources: pd.DataFrame, block: int, most: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["place", "base", "extra"])
 
 
-def taken_again(first: int, last: int, blocks: int, extra: int, seed: list[int]) -> np.ndarray:
-    """Which of the blocks [first, last) are among the ``extra`` of ``blocks`` that are taken once more.
+def shard_quotas(dealt: DataFrame, block: int) -> DataFrame:
+    """(shard, place, before, first, last, quota, owner_*): the blocks [first, last) that begin in a shard,
+    and how many of them are taken once more; ``before`` counts the words of the shards before.
 
-    Each stretch of ``STRETCH`` blocks has its share of them, so whoever asks for a block gets the same.
+    ``owner_*`` is the same of the nearest shard before in which a block begins: its last may reach into this one.
     """
-    found = []
-    for stretch in range(first // STRETCH, -(-last // STRETCH)):
-        low, high = stretch * STRETCH, min(blocks, (stretch + 1) * STRETCH)
-        n = extra * high // blocks - extra * low // blocks
-        found.append(low + np.sort(np.random.default_rng([*seed, stretch]).permutation(high - low)[:n]))
-    found = np.concatenate(found) if found else np.empty(0, np.int64)
-    return found[(found >= first) & (found < last)]
+    earlier = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    held = dealt.groupBy("shard", "place").agg(
+        F.sum("size").alias("held"), F.max("extra").alias("extra"),
+        F.max("source_size").alias("size")
+    ).withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+    begun = lambda words: F.expr(f"cast(({words} + {block - 1}) div {block} as long)")
+    cut = held.select("shard", "place", "before", "extra", begun("size").alias("blocks"),
+                      begun("before").alias("first"), begun("before + held").alias("last"))
+    # Sainte-Lague between two parts of a line: the nearest integer.
+    seats = "cast((2 * cast(extra as decimal(18,0)) * {0} + blocks) div (2 * blocks) as long)"
+    given = cut.withColumn("quota", F.when(F.col("blocks") > 0, F.expr(seats.format("last")) - F.expr(seats.format("first")))
+                           .otherwise(F.lit(0)))
+    own = F.when(F.col("last") > F.col("first"), F.struct("shard", "first", "last", "quota"))
+    return given.withColumn("owner", F.last(own, ignorenulls=True).over(earlier)).select(
+        "shard", "place", "before", "first", "last", "quota",
+        *[F.coalesce(f"owner.{c}", F.lit(0)).alias(f"owner_{c}") for c in ("shard", "first", "last", "quota")])
+
+
+def taken_again(place: int, shard: int, first: int, last: int, quota: int, seed: int) -> np.ndarray:
+    """The blocks among [first, last) of a shard that are taken once more; whoever asks gets the same."""
+    drawn = np.random.default_rng([seed, place, shard]).choice(last - first, quota, replace=False, shuffle=False)
+    return first + np.sort(drawn)
 
 
 def mixed_shard(shard: pd.DataFrame, starts: pd.DataFrame, block: int, seed: int) -> pd.DataFrame:
     """Adds to the rows of one shard: taken, copies and the ranges of words taken once more.
 
-    ``starts`` has the words of each source in the shards before.
+    ``starts`` has the rows of ``shard_quotas`` for the shard.
     """
     shard = shard.sort_values(["place", "spread", "doc_id", "size"], na_position="last").reset_index(drop=True)
     size = shard["size"].to_numpy()
     ends = np.cumsum(size)
     place, first = np.unique(shard["place"].to_numpy(), return_index=True)
     held = np.add.reduceat(size, first)
-    known = dict(zip(starts["place"], starts["before"], strict=True))
+    known = {int(start.place): start for start in starts.itertuples()}
     copies = np.where(size > 0, shard["base"].to_numpy(), 0)
     ranges: list[list[dict]] = [[] for _ in range(len(shard))]
     for c, start in enumerate(first):
         stop = first[c + 1] if c + 1 < len(first) else len(shard)
-        words, extra, begin = int(held[c]), int(shard["extra"].iloc[start]), int(known[place[c]])
-        if not words or not extra:
+        own, words = known[int(place[c])], int(held[c])
+        if not words or not shard["extra"].iloc[start]:
             continue
-        blocks = -(-int(shard["source_size"].iloc[start]) // block)
-        once = taken_again(begin // block, -(-(begin + words) // block), blocks, extra, [seed, int(place[c])])
+        begin = int(own.before)
+        once = taken_again(own.place, own.shard, own.first, own.last, own.quota, seed)
+        if begin % block and own.owner_quota:
+            reaching = taken_again(own.place, own.owner_shard, own.owner_first, own.owner_last, own.owner_quota, seed)[-1:]
+            once = np.concatenate([reaching[reaching == own.first - 1], once])
         before = ends[start] - size[start]
         # Neighbouring blocks make one run of words; a document takes what of it lies within.
         cut = np.flatnonzero(np.diff(once) > 1) + 1
@@ -186,9 +205,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         .select("row", F.col("doc_id").cast("string").alias("doc_id"), "size", "spread", "place",
                 "source_size", "target", "base", "extra", F.pmod("spread", F.lit(shards)).alias("shard"))
     )
-    earlier = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = staged(dealt.groupBy("shard", "place").agg(F.sum("size").alias("held")).select(
-        "shard", "place", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before")), "starts")
+    starts = staged(shard_quotas(dealt, block), "shard-quotas")
     return dealt.groupBy("shard").cogroup(starts.groupBy("shard")).applyInPandas(
         lambda shard, starts: mixed_shard(shard, starts, block, seed), MIXED,
     ).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -378,6 +378,44 @@ def test_mixing_does_not_round_by_shard(spark, words):
     assert all(abs(taken[s] - target[s]) <= 2 * 16 for s in target)
 
 
+def brute_taken(rows, source, shards, block=16, most=3):
+    """(doc_id, taken) of each row: the line of each source word by word; hashes and targets are those of ``rows``."""
+    names = sorted({source[r.doc_id] for r in rows}, key=lambda s: (s is None, s or ""))
+    target = {source[r.doc_id]: r.target for r in rows}
+    seats, won = round(sum(target.values()) / block), dict.fromkeys(names, 0)
+    for _ in range(seats):
+        won[max(names, key=lambda s: (Fraction(target[s]) / (2 * won[s] + 1), -names.index(s)))] += 1
+    out, quota_of = Counter(), {}
+    for place, name in enumerate(names, 1):
+        line = sorted((r for r in rows if source[r.doc_id] == name),
+                      key=lambda r: (r.spread % shards, r.spread, str(r.doc_id), r.size))
+        words = [(i, r.spread % shards) for i, r in enumerate(line) for _ in range(r.size)]
+        whole = most if target[name] >= most * len(words) else min(most, won[name] * block // len(words))
+        blocks = -(-len(words) // block)
+        more = 0 if whole == most else min(blocks, round((won[name] * block - whole * len(words)) / block))
+        taken = [whole * r.size for r in line]
+        owner = defaultdict(list)
+        for b in range(blocks):
+            owner[words[b * block][1]].append(b)
+        nearest = lambda b: int(Fraction(more * b, blocks) + Fraction(1, 2))  # noqa: E731, B023
+        for shard, own in owner.items():
+            quota = quota_of[name, shard] = nearest(own[-1] + 1) - nearest(own[0])
+            for b in np.random.default_rng([mixing.SEED, place, shard]).choice(len(own), quota, replace=False, shuffle=False):
+                for i, _ in words[(own[0] + b) * block:(own[0] + b + 1) * block]:
+                    taken[i] += 1
+        assert sum(q for (s, _), q in quota_of.items() if s == name) == more
+        out.update((r.doc_id, t) for r, t in zip(line, taken, strict=True))
+    return out
+
+
+@pytest.mark.parametrize("rows_per_shard", [1, 9, 2048])
+def test_mixing_takes_the_blocks_of_the_line(spark, rows_per_shard):
+    rows = [(i, prose(i, (3, 40, 7, 0, 150)[i % 5]), None, ("a", "b", "b", None, "c", "c", "c")[i % 7], 0) for i in range(140)]
+    found = mixing.mixed(documents(spark, rows, clashing=False), rows_per_shard=rows_per_shard).collect()
+    want = brute_taken(found, {r[0]: r[3] for r in rows}, -(-len(rows) // rows_per_shard))
+    assert Counter((r.doc_id, r.taken) for r in found) == want
+
+
 def test_mix_has_the_words_taken(spark):
     docs = documents(spark)
     out = mixing.mix(docs)
