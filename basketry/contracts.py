@@ -52,6 +52,9 @@ SILVER_CUSTOMERS = "silver_customers_clean"
 SILVER_PRODUCTS = "silver_products_clean"
 SILVER_ORDERS = "silver_orders_clean"
 SILVER_QUARANTINE = "silver_quarantine"
+# Ours: orders behind the watermark, and how many rows kept each rule, by batch.
+LATE_ORDERS = "silver_orders_late"
+RULE_REPORT = "rule_report"
 DIM_CUSTOMER = "gold_dim_customer"
 DIM_PRODUCT = "gold_dim_product"
 DIM_DATE = "gold_dim_date"

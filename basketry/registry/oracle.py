@@ -194,6 +194,10 @@ select outlet_type, city_type, region, order_year,
   {rnd("(count(*) filter (where ship_mode = 'Standard Class') / count(*) * 100)", 1)}
     as pct_standard_class
 from fact group by all""",
+    "shipped": """
+select *, ship_date >= date '2018-07-01' or l_linenumber = 3 as second from orders_ok""",
+    "shipped_mark": """
+select max(ship_date) - interval 200 day as mark from shipped where not second""",
     "history": """
 select user_id, event_type, value, ts as start_ts,
   lead(ts) over (partition by user_id order by ts) as end_ts
@@ -415,7 +419,7 @@ where dob is null or (dob < date '1990-01-01' and dob > date '1900-01-01')""",
     "dq_warn_metrics": "\nunion all\n".join([
         _report("silver_customers_clean", "customer_rows", _CUSTOMER_WARNS),
         _report("silver_products_clean", "product_rows", _PRODUCT_WARNS),
-        _report("silver_orders_clean", "orders_ok", _ORDER_WARNS)]),
+        _report("silver_orders_clean", "order_rows", _ORDER_WARNS)]),
     "dq_fail_passes_clean": "select order_id, customer_id, product_id, sales from orders_clean",
     "dq_quarantine_bronze": f"select {_FEED}, {BRONZE_REASON} as _failure_reason from raw "
                             f"where {BRONZE_BAD}",
@@ -448,8 +452,22 @@ from raw group by all""".replace("{bad}", "rejected").replace("{good}", "accepte
   select *, row_number() over (partition by order_id order by {FIRST_BY}) as rn from order_rows)
 where rn = 1 and {ORDER_OK}""",
     "stream_dedup_global": f"select {CUSTOMER_COLUMNS} from customers",
-    "stream_dedup_watermark": "select distinct order_id, customer_id from orders_ok",
-    "stream_dedup_within": "select distinct order_id, customer_id from orders_ok",
+    "stream_dedup_watermark": """select distinct order_id, customer_id from orders_ok
+where l_linenumber <> 1
+union all
+select distinct order_id, customer_id from orders_ok where l_linenumber = 1
+  and order_date > (select max(order_date) - interval 1000 day from orders_ok where l_linenumber <> 1)
+  and order_id not in (select order_id from orders_ok where l_linenumber <> 1)""",
+    "stream_dedup_within": """select order_id, customer_id, min(ship_date) as ship_date
+from shipped where not second group by all
+union all
+select order_id, customer_id, min(ship_date) from shipped, shipped_mark
+where second and ship_date > mark and order_id not in (
+  select order_id from shipped where not second group by order_id
+  having min(ship_date) > (select mark - interval 200 day from shipped_mark))
+group by all""",
+    "stream_late_rows": """select order_id, product_id, ship_date, sales from shipped, shipped_mark
+where second and ship_date <= mark""",
     "stream_watermark": f"""select {instant("date_trunc('hour', ts)")} as hour, event_type,
   count(*) as n, {rnd(total('value'), 2)} as value from events
 where date_trunc('hour', ts) + interval 1 hour

@@ -16,6 +16,7 @@ from basketry.sources import sales_csv, tables
 from basketry.sources.testtables import FIRST_BY, INGESTED, TIEBREAK_EXTRA, raw_sales
 from basketry.sources.testtables import raw_with_audit, table
 from basketry.streaming import cleansing, ingest, runs
+from basketry.streaming.arrivals import FirstInTime
 from basketry.streaming.firsts import FirstSeen
 from basketry.streaming.history import History
 
@@ -460,7 +461,7 @@ def dq_warn_metrics(spark, sf_dir):
     reports = [
         Q.report(silver.customer_rows(base), warn(R.customer_rules(AS_OF)), C.SILVER_CUSTOMERS),
         Q.report(silver.product_rows(base), warn(R.PRODUCT_RULES), C.SILVER_PRODUCTS),
-        Q.report(_kept_orders(base), warn(R.ORDER_RULES), C.SILVER_ORDERS),
+        Q.report(silver.order_rows(base), warn(R.ORDER_RULES), C.SILVER_ORDERS),
     ]
     return reduce(DataFrame.unionByName, reports)
 
@@ -515,9 +516,10 @@ def dq_all_reasons(spark, sf_dir):
 
 @registered
 def dq_report(spark, sf_dir):
-    base = _stored_bronze(spark, sf_dir)
+    raw = staged(_raw(spark, sf_dir), "raw")
+    base = bronze.accepted(raw)
     reports = [
-        Q.report(_raw(spark, sf_dir), R.BRONZE_RULES, C.BRONZE_SALES),
+        Q.report(raw, R.BRONZE_RULES, C.BRONZE_SALES),
         Q.report(silver.customer_rows(base), R.customer_rules(AS_OF), C.SILVER_CUSTOMERS),
         Q.report(silver.product_rows(base), R.PRODUCT_RULES, C.SILVER_PRODUCTS),
         Q.report(silver.order_rows(base), R.ORDER_RULES, C.SILVER_ORDERS),
@@ -578,15 +580,50 @@ def stream_dedup_global(spark, sf_dir):
 
 @registered
 def stream_dedup_watermark(spark, sf_dir):
-    stored = _streamed(spark, _bronze(spark, sf_dir), cleansing.orders, "orders-global")
-    return stored.select("order_id", "customer_id")
+    """Orders in two batches by the date of the order. Those of the second that are more than 1,000 days
+    behind the first are dropped, even if they were never seen."""
+    rows = _timed(spark, sf_dir, "order_date_raw")
+    source, target = scratch_folder(spark, "orders-in"), scratch_folder(spark, "orders-global")
+    second = F.coalesce(F.col("l_linenumber") == 1, F.lit(False))
+    for part in (~second, second):
+        rows.filter(part).write.mode("append").parquet(source)
+        stream = cleansing.orders(tables.changes(spark, source, rows.schema), horizon="1000 days")
+        runs.append(stream, f"{target}/_checkpoints", f"{target}/table")
+    return tables.batches(spark, f"{target}/table", stream.schema).select("order_id", "customer_id")
+
+
+def _timed(spark, sf_dir, day: str) -> DataFrame:
+    """Bronze rows whose event time is one of their days."""
+    return _stored_bronze(spark, sf_dir).withColumn(C.INGESTED_AT, dates.parsed_day(day).cast("timestamp"))
+
+
+def _shipped(spark, sf_dir) -> FirstInTime:
+    """Orders by the day they were shipped, remembered for 200 days, in two batches: the second has what
+    was shipped since July 2018, and the third lines of all orders, some of them late."""
+    rows = _timed(spark, sf_dir, "ship_date_raw")
+    source, target = scratch_folder(spark, "shipped-in"), scratch_folder(spark, "shipped")
+    orders = FirstInTime(
+        f"{target}/table", f"{target}/late", f"{target}/marks", ["order_id"], C.INGESTED_AT, "200 days",
+        [C.SOURCE_FILE], silver.order_rows(rows).schema)
+    orders.create(spark)
+    second = F.coalesce((F.col(C.INGESTED_AT) >= "2018-07-01") | (F.col("l_linenumber") == 3), F.lit(False))
+    for part in (~second, second):
+        rows.filter(part).write.mode("append").parquet(source)
+        stream = cleansing.order_rows(tables.changes(spark, source, rows.schema))
+        runs.drain(stream, f"{target}/_checkpoints", orders.add)
+    return orders
 
 
 @registered
 def stream_dedup_within(spark, sf_dir):
-    within = lambda rows: cleansing.orders(rows, cleansing.WITHIN)
-    stored = _streamed(spark, _bronze(spark, sf_dir), within, "orders-within")
-    return stored.select("order_id", "customer_id")
+    """An order that is shipped again after the horizon is let in again."""
+    return _shipped(spark, sf_dir).read(spark).select("order_id", "customer_id", "ship_date")
+
+
+@registered
+def stream_late_rows(spark, sf_dir):
+    """Rows behind the watermark, every one of them."""
+    return _shipped(spark, sf_dir).late(spark).select("order_id", "product_id", "ship_date", "sales")
 
 
 @registered

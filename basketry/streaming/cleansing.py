@@ -22,6 +22,12 @@ def product_rows(bronze: DataFrame) -> DataFrame:
     return Q.keep(rows, R.PRODUCT_RULES)
 
 
+def order_rows(bronze: DataFrame) -> DataFrame:
+    """Valid order rows, not deduplicated."""
+    rows = silver.order_rows(bronze)
+    return Q.keep(Q.watched(rows, R.ORDER_RULES, C.SILVER_ORDERS), R.ORDER_RULES)
+
+
 def orders(
     bronze: DataFrame, mode: str = GLOBAL, horizon: str = C.LATE_HORIZON, salts: int = 1
 ) -> DataFrame:
@@ -32,8 +38,7 @@ def orders(
     returns later than that is let through again. ``salts`` above 1 spreads an order that holds
     much of a trigger over that many tasks first.
     """
-    rows = silver.order_rows(bronze)
-    rows = Q.keep(Q.watched(rows, R.ORDER_RULES, C.SILVER_ORDERS), R.ORDER_RULES)
+    rows = order_rows(bronze)
     if mode == GLOBAL:
         seen = dedup.stream_first_seen(rows.withWatermark(C.INGESTED_AT, horizon), ["order_id"], salts)
     elif mode == WITHIN:

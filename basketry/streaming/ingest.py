@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketry import contracts as C
 from basketry.operators import quality as Q
-from basketry.plans import bronze
+from basketry.plans import bronze, rules as R
 from basketry.sources import sales_csv, tables
 from basketry.streaming.runs import drain
 
@@ -21,13 +21,16 @@ def write_split(
     bad_path: str,
     quarantine,
     partition_by: Sequence[str] = (),
+    report_path: str | None = None,
 ) -> None:
-    """Write both sides of a quality split from one evaluation of the batch."""
+    """Write both sides of a quality split, and a report of its rules, from one evaluation of the batch."""
     tagged = tagged.persist()
     try:
         tables.write_batch(Q.accepted(tagged), good_path, batch_id, partition_by)
         # Few rows per task are left here, hence the rebalancing.
         tables.write_batch(tables.balanced(quarantine(tagged)), bad_path, batch_id)
+        if report_path:
+            tables.write_batch(Q.report(tagged, R.BRONZE_RULES, C.BRONZE_SALES), report_path, batch_id)
     finally:
         tagged.unpersist()
 
@@ -78,6 +81,7 @@ def ingest(
             f"{root}/{C.BRONZE_QUARANTINE}",
             bronze.quarantine,
             C.TABLES[C.BRONZE_SALES].partition_by,
+            f"{root}/{C.RULE_REPORT}/bronze",
         )
 
     return drain(sales_csv.discovered(spark, landing, max_files), checkpoint, each_batch)

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry import contracts as C
 from basketry.operators import quality as Q
@@ -18,11 +20,19 @@ from basketry.operators.star import star_join
 from basketry.plans import gold, kpi, rules as R, silver
 from basketry.sources import tables
 from basketry.streaming import cleansing, ingest
+from basketry.streaming.arrivals import FirstInTime
 from basketry.streaming.firsts import FirstSeen
 from basketry.streaming.history import BUCKETS, History
 from basketry.streaming.runs import drain, finish, start_append, start_batches
 
 
+_REPORT = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("rule_name", T.StringType()),
+    T.StructField("action", T.StringType()), T.StructField("passed", T.LongType()),
+    T.StructField("failed", T.LongType()),
+])
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     """Where the tables are and how a run behaves."""
@@ -58,6 +68,8 @@ class Lakehouse:
             return tables.batches(spark, self.path(table), ingest.bronze_schema())
         if table == C.BRONZE_QUARANTINE:
             return tables.batches(spark, self.path(table), ingest.quarantine_schema())
+        if table == C.RULE_REPORT:
+            return self._report(spark)
         if table in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             return self.history(spark, table).read(spark)
         stored = self.stored_schema(spark, table)
@@ -74,7 +86,7 @@ class Lakehouse:
             return silver.customer_rows(empty).schema
         if table == C.SILVER_PRODUCTS:
             return silver.product_rows(empty).schema
-        if table == C.SILVER_ORDERS:
+        if table in (C.SILVER_ORDERS, C.LATE_ORDERS):
             return silver.with_order_period(silver.order_rows(empty)).schema
         if table == C.SILVER_QUARANTINE:
             return silver.quarantine(empty).schema
@@ -91,12 +103,26 @@ class Lakehouse:
         return History(self.path(table), keys, C.INGESTED_AT, columns, feed.schema,
                        buckets=self.dimension_buckets)
 
+    def _report(self, spark: SparkSession) -> DataFrame:
+        """Rows that kept and that broke each rule, over all batches."""
+        parts = [tables.batches(spark, f"{self.path(C.RULE_REPORT)}/{part}", _REPORT) for part in ("bronze", "silver")]
+        return reduce(DataFrame.unionByName, parts).groupBy("table_name", "rule_name", "action").agg(
+            F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+    def orders_in_time(self, spark: SparkSession) -> FirstInTime:
+        """The orders of the mode ``within``, and those that came too late."""
+        return FirstInTime(
+            self.path(C.SILVER_ORDERS), self.path(C.LATE_ORDERS), f"{self.root}/_marks/{C.SILVER_ORDERS}",
+            ["order_id"], C.INGESTED_AT, self.horizon, [C.SOURCE_FILE], self.stored_schema(spark, C.SILVER_ORDERS),
+            C.TABLES[C.SILVER_ORDERS].partition_by)
+
     # -- running -----------------------------------------------------------------------------
     def run(self, spark: SparkSession, ingested_at: Column | None = None) -> None:
         """Bring every table up to date with the landing folder, which may be empty."""
         self.prepare(spark)
         self.run_bronze(spark, ingested_at)
         self.run_silver(spark)
+        self.run_report(spark)
         self.run_dimensions(spark)
         self.run_fact(spark)
         self.run_kpis(spark)
@@ -114,6 +140,10 @@ class Lakehouse:
         }
         for name, schema in empty_ones.items():
             tables.create(spark, self.path(name), schema)
+        for part in ("bronze", "silver"):
+            tables.create(spark, f"{self.path(C.RULE_REPORT)}/{part}", _REPORT)
+        if self.order_mode == cleansing.WITHIN:
+            self.orders_in_time(spark).create(spark)
         for name in (C.DIM_CUSTOMER, C.DIM_PRODUCT):
             self.history(spark, name).create(spark)
         if not tables.computed(spark, self.path(C.DIM_DATE)):
@@ -140,16 +170,33 @@ class Lakehouse:
             )
             for name, (rows, keys) in kept.items()
         ]
-        appended = {
-            C.SILVER_ORDERS: cleansing.orders(bronze, self.order_mode, self.horizon, self.order_salts),
-            C.SILVER_QUARANTINE: silver.quarantine(bronze),
-        }
+        appended = {C.SILVER_QUARANTINE: silver.quarantine(bronze)}
+        if self.order_mode == cleansing.WITHIN:
+            rows = silver.with_order_period(cleansing.order_rows(bronze))
+            queries.append(start_batches(
+                rows, self.checkpoint(C.SILVER_ORDERS), self.orders_in_time(spark).add))
+        else:
+            appended[C.SILVER_ORDERS] = cleansing.orders(bronze, self.order_mode, self.horizon, self.order_salts)
         queries += [
             start_append(rows, self.checkpoint(name), self.path(name), C.TABLES[name].partition_by)
             for name, rows in appended.items()
         ]
         finish(queries)
 
+    def run_report(self, spark: SparkSession) -> None:
+        """Count what the rules of the silver tables say of the new rows. The bronze rules are counted as
+        their rows are split; a broken fail rule stops the run."""
+
+        def each_batch(rows: DataFrame, batch_id: int) -> None:
+            counts = reduce(DataFrame.unionByName, [
+                Q.report(silver.customer_rows(rows), R.customer_rules(), C.SILVER_CUSTOMERS),
+                Q.report(silver.product_rows(rows), R.PRODUCT_RULES, C.SILVER_PRODUCTS),
+                Q.report(silver.order_rows(rows), R.ORDER_RULES, C.SILVER_ORDERS),
+            ])
+            tables.write_batch(counts.coalesce(1), f"{self.path(C.RULE_REPORT)}/silver", batch_id)
+
+        drain(self.bronze_changes(spark), self.checkpoint(C.RULE_REPORT), each_batch)
+
     def run_dimensions(self, spark: SparkSession) -> None:
         if self.first_seen_dimensions:
             feeds = {

@@ -4,13 +4,15 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from test_csv import SAMPLE, write
 
 from basketry import contracts as C
-from basketry.operators import dedup, scd2
-from basketry.plans import kpi
+from basketry.operators import dedup, quality as Q, scd2
+from basketry.plans import kpi, rules as R
 from basketry.sources import tables
+from basketry.sources.testtables import raw_sales
 from basketry.streaming import runs
 from basketry.streaming.history import History
 from basketry.streaming.refresh import Lakehouse
@@ -402,3 +404,76 @@ def test_each_batch_sees_the_dimensions_of_its_time(spark, folder, monkeypatch):
     assert len(joined) == 2
     rows = tables.batches(spark, house.path(C.FACT_SALES), schema).collect()
     assert sorted(r.region for r in rows) == ["East", "West"]
+
+
+def arrived(spark, folder, batches):
+    """What FirstInTime keeps and finds late of batches of (key, hour) rows, with a horizon of 24 hours."""
+    from basketry.streaming.arrivals import FirstInTime
+
+    frames = [spark.createDataFrame(rows, "k string, h int").selectExpr(
+        "k", "timestamp_seconds(1767225600 + h * 3600) as ts", "h") for rows in batches]
+    table = FirstInTime(f"{folder}/t", f"{folder}/late", f"{folder}/marks", ["k"], "ts", "24 hours", ["h"], frames[0].schema)
+    table.create(spark)
+    return table, frames
+
+
+def hours(df):
+    return sorted(((r.k, r.h) for r in df.collect()), key=str)
+
+
+def test_event_time_dedup_keeps_late_rows_apart(spark, folder):
+    table, frames = arrived(spark, folder, [
+        [("a", 0), ("a", 5), ("b", 30), ("n", None)],
+        [("a", 7), ("b", 31), ("c", 6), ("d", 6), ("d", 6), ("n", None), ("e", 100)],  # the watermark is 6
+        [("b", 77), ("b", 90), ("e", 101), ("f", 76)],                                 # the watermark is 76
+    ])
+    for i, frame in enumerate(frames):
+        table.add(frame, i)
+        table.add(frame, i)
+    # "a" of hour 0 is remembered until the watermark is 24.
+    assert hours(table.read(spark)) == [("a", 0), ("b", 30), ("b", 77), ("e", 100), ("n", None)]
+    assert hours(table.late(spark)) == [("c", 6), ("d", 6), ("d", 6), ("f", 76)]
+
+
+def test_event_time_dedup_of_random_batches(spark, folder):
+    import random
+
+    draw = random.Random(5)
+    batches = [[(draw.choice("abcdef"), 20 * i + draw.randrange(-60, 30)) for _ in range(25)] for i in range(5)]
+    table, frames = arrived(spark, folder, batches)
+    kept, late, latest = [], [], None
+    for i, (rows, frame) in enumerate(zip(batches, frames, strict=True)):
+        table.add(frame, i)
+        mark = None if latest is None else latest - 24
+        on_time = [r for r in rows if mark is None or r[1] > mark]
+        late += [r for r in rows if r not in on_time]
+        known = {k for k, h in kept if mark is None or h + 24 > mark}
+        kept += [(k, min(h for q, h in on_time if q == k)) for k in {k for k, _ in on_time} - known]
+        latest = max([h for _, h in rows] + ([] if latest is None else [latest]))
+    assert hours(table.read(spark)) == sorted(kept, key=str)
+    assert hours(table.late(spark)) == sorted(late, key=str) and late
+
+
+@pytest.mark.parametrize("mode", ["global", "within"])
+def test_a_run_stores_what_its_rules_found(spark, folder, mode):
+    house = Lakehouse(f"{folder}/landing", f"{folder}/root", order_mode=mode)
+    os.makedirs(f"{folder}/landing")
+    rows = raw_sales(spark, SF_SMALL).filter("l_linenumber <= 2")
+    parts = [rows.filter("l_linenumber = 1"), rows.filter("l_linenumber = 2")]
+    for i, part in enumerate(parts):
+        named = part.select(*[F.col(name).alias(header) for header, _, name in C.RAW_FIELDS])
+        named.write.option("header", True).csv(f"{folder}/landing/{i}")
+        house.run(spark)
+    raw = rows.withColumn(C.RESCUED, F.lit(None).cast("string"))
+    counted = {(r.table_name, r.rule_name): (r.passed, r.failed) for r in house.read(spark, C.RULE_REPORT).collect()}
+    total = rows.count()
+    want = {r.rule_name: (r.passed, r.failed) for r in Q.report(raw, R.BRONZE_RULES, C.BRONZE_SALES).collect()}
+    assert {rule: n for (table, rule), n in counted.items() if table == C.BRONZE_SALES} == want
+    accepted = house.read(spark, C.BRONZE_SALES).count()
+    assert {sum(n) for (table, _), n in counted.items() if table != C.BRONZE_SALES} == {accepted} and accepted < total
+    assert {table for table, _ in counted} == {
+        C.BRONZE_SALES, C.SILVER_CUSTOMERS, C.SILVER_PRODUCTS, C.SILVER_ORDERS}
+    ids = house.read(spark, C.SILVER_ORDERS).select("order_id")
+    assert ids.count() == ids.distinct().count() > 0
+    if mode == "within":
+        assert house.orders_in_time(spark).late(spark).count() == 0
