@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.shared import slice_count, staged
 
-QUERIES_PER_BLOCK = 1024
+QUERIES_PER_BLOCK = 16_384
 CANDIDATES_PER_BLOCK = 4096
 #: Queries whose dense score arrays a task holds at once.
 STRIP = 128
@@ -72,9 +72,12 @@ def best_in_block(queries: pd.DataFrame, candidates: pd.DataFrame, k: int) -> It
         best = best.ravel()
         other = (best < low[rows]) | (best >= high[rows])
         rows, best = rows[other], best[other]
+        # More than k of one pair are never needed.
+        asked_often, held_often = (np.minimum(side["copies"].to_numpy(), k) for side in (queries, candidates))
         yield pd.DataFrame({
             "query_id": queries["vec_id"].to_numpy()[first + rows], "vec_id": ids[best],
-            "score": scores[rows, best].astype(np.int64)})
+            "score": scores[rows, best].astype(np.int64),
+            "times": np.minimum(asked_often[first + rows] * held_often[best], k)})
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
@@ -85,9 +88,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
 
     Vectors are scaled to integers by ``scaled``. All rows with another id than the query's are
     candidates; ties go to the smaller id. A vector that is NULL or has a NULL or non-finite component
-    takes no part, nor does a row without an id. Rows that agree in id and vector count once; other
-    rows that repeat an id are candidates each, and the k best of all rows of a query's id are its own.
-    Shorter vectors count as filled with zeros. Scores are exact while they fit in 64 bits. With
+    takes no part, nor does a row without an id. Rows that repeat an id are candidates each, also where
+    they agree in the vector: these are scored once and listed as often as they occur. The k best
+    of all pairs of a query's rows are those of its id. Shorter vectors count as filled with zeros. Scores are exact while they fit in 64 bits. With
     fewer than k candidates all are returned; an empty table gives an empty result.
     """
     rows = staged(
@@ -95,29 +98,32 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
         .select(F.col(id_col).cast("long").alias("vec_id"), is_query.alias("asks"),
                 F.col(vector_col).alias("vector"), scaled(F.col(vector_col), scale).alias("weights"))
         .filter("weights is not null")
-        .groupBy("vec_id", "vector").agg(F.min("weights").alias("weights"), F.max("asks").alias("asks"))
-        .select(F.monotonically_increasing_id().alias("row"), "vec_id", "weights", "asks"),
+        .groupBy("vec_id", "vector").agg(F.min("weights").alias("weights"), F.max("asks").alias("asks"),
+                                         F.count(F.lit(1)).alias("copies"))
+        .select(F.monotonically_increasing_id().alias("row"), "vec_id", "weights", "asks", "copies"),
         "vectors",
     )
     blocks = slice_count(rows.filter("asks").count(), queries_per_block)
     parts = slice_count(rows.count(), candidates_per_block)
     asked = rows.filter("asks").select(
         F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).alias("block"),
-        F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part"), "vec_id", "weights")
+        F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part"), "vec_id", "weights", "copies")
     held = rows.select(
         F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
-        F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"), "vec_id", "weights")
+        F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"), "vec_id", "weights", "copies")
 
     def meet(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
+        empty = pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score", "times")})
         if queries.empty or candidates.empty:
             return empty
         return pd.concat([empty, *best_in_block(queries, candidates, k)], ignore_index=True)
 
     found = asked.groupBy("block", "part").cogroup(held.groupBy("block", "part")).applyInPandas(
-        meet, "query_id long, vec_id long, score long")
+        meet, "query_id long, vec_id long, score long, times long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    distinct = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return (
-        found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        distinct.withColumn("time", F.explode(F.expr("sequence(1L, times)")))
+        .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
