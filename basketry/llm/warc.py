@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import files
@@ -109,7 +109,9 @@ def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Rows to archive: page_id, url, copy, sha1, first, record_type, size, payload.
 
     ``first`` is the id of the response of equal payloads of ``least`` bytes or more, which has
-    ``copy`` 1 (rows that agree in id and payload are numbered); a revisit has no payload.
+    ``copy`` 1; of rows that agree in id and payload, the others get larger numbers, with gaps. A
+    revisit has no payload. All this is settled on headers; a payload is moved once per map task that
+    holds it, however many rows repeat it.
     """
     key = ["none", "known", "sha1"]
     rows = pages.select(
@@ -117,23 +119,31 @@ def resolved(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("body"),
     ).select("*", F.isnull("page_id").alias("none"), F.coalesce("page_id", F.lit(0)).alias("known"),
              F.sha1("body").alias("sha1"))
-    headers = staged(rows.select(*key, F.octet_length("body").cast("long").alias("size")), "headers")
+    headers = staged(rows.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", *key,
+                                 F.octet_length("body").cast("long").alias("size")), "headers")
     first = (
         headers.filter(F.col("size") >= least).groupBy("sha1")
         .agg(F.min(F.struct("none", "known")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     )
-    roles = split_join(headers.groupBy(*key).agg(F.max("size").alias("size")),
-                       first.select("sha1", "first"), ["sha1"], "left")
+    alike = (
+        headers.groupBy(*key).agg(F.min(F.struct("url", "row")).alias("leads"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select(*key, "leads")
+    )
     own = (F.col("first.none") == F.col("none")) & (F.col("first.known") == F.col("known"))
-    alike = Window.partitionBy(*key).orderBy("url")
-    return (
-        rows.join(roles, key).withColumn("copy", F.row_number().over(alike))
+    copy = F.when(F.isnull("leads") | (F.col("leads.row") == F.col("row")), F.lit(1)).otherwise(F.col("row") + 2)
+    roles = staged(
+        split_join(split_join(headers, alike, key, "left").withColumn("copy", copy.cast("long")),
+                   first.select("sha1", "first"), ["sha1"], "left")
         .withColumn("record_type", F.when(F.isnull("first") | (own & (F.col("copy") == 1)), "response")
                     .otherwise("revisit"))
         .select("page_id", "url", "copy", "sha1", F.isnotnull("first").alias("shared"),
-                F.when(~F.col("first.none"), F.col("first.known")).alias("first"), "record_type", "size",
-                F.when(F.col("record_type") == "response", F.col("body")).alias("payload"))
-    )
+                F.when(~F.col("first.none"), F.col("first.known")).alias("first"), "record_type", "size"), "roles")
+    bodies = rows.groupBy("sha1").agg(F.first("body").alias("payload"))
+    asked = roles.filter("record_type = 'response'")
+    # Below ``least`` bytes every row is a response, so such a payload may be asked for by very many.
+    responses = split_join(asked, bodies, ["sha1"]) if least > 0 else asked.join(bodies, "sha1")
+    revisits = roles.filter("record_type = 'revisit'").withColumn("payload", F.lit(None).cast("binary"))
+    return responses.unionByName(revisits)
 
 
 def _name(page_id: int | None, sha1: str, copy: int) -> str:
