@@ -34,6 +34,7 @@ FEATURE_BITS = 14
 ROUNDS = 8
 #: Most the model may hold, in bytes; beyond it, fewer features or centroids have to be chosen.
 MODEL_BYTES = 512 << 20
+#: Parameter of the classifier: a cluster with less than this share of a language's texts makes no centroid.
 SMALLEST = 0.02
 #: A text is rejected below this share of the 1st percentile of its language's training cosines. A
 #: text of few letters has few n-grams and is far from everything, so the bound falls with
@@ -99,10 +100,10 @@ class Model:
         return self.labels[best], score, score < self.far[best] * min(1.0, (n / FULL_LETTERS) ** 0.5)
 
 
-def clustered(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
+def clustered(vectors: np.ndarray, k: int, rounds: int, smallest: float = SMALLEST) -> np.ndarray:
     """Centroids by spherical k-means, from seeds drawn by their distance from the earlier ones.
 
-    Clusters of less than ``SMALLEST`` of the texts are oddities, not kinds of text, and are left out.
+    Clusters of less than ``smallest`` of the texts are oddities, not kinds of text, and are left out.
     """
     draw = np.random.default_rng(1)
     seeds = [int(np.argmax(vectors @ vectors.mean(0)))]
@@ -118,7 +119,26 @@ def clustered(vectors: np.ndarray, k: int, rounds: int) -> np.ndarray:
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(length > 0, sums / np.maximum(length, 1e-12), centroids)
     held = np.bincount(np.argmax(vectors @ centroids.T, axis=1), minlength=len(centroids))
-    return centroids[held >= max(1, SMALLEST * len(vectors))]
+    return centroids[held >= max(1, smallest * len(vectors))]
+
+
+def training_ids(labelled: DataFrame, texts: int) -> DataFrame:
+    """(id, lang): of each language, the ``texts`` ids with the smallest hashes, of rows (id, lang).
+
+    Ids are counted first; then only those whose hash lies in the lowest part of its range, which
+    holds about four times as many as are wanted, are numbered. So what one task numbers does not grow
+    with the table, and an id that many rows repeat counts once.
+    """
+    hashed = labelled.withColumn("hash", F.xxhash64("id", "lang", F.lit(7)))
+    known = staged(labelled.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids")), "languages")
+    if known.count() <= BROADCAST_IDS:
+        known = F.broadcast(known)
+    order = Window.partitionBy("lang").orderBy("hash", "id")
+    return (
+        hashed.join(known, "lang").filter(F.col("hash") / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * texts) / F.col("ids"))
+        .select("id", "lang", "hash").distinct()
+        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= texts).select("id", "lang")
+    )
 
 
 def fit(docs: DataFrame, trains: Column, text_col: str = "text", lang_col: str = "lang",
@@ -129,12 +149,9 @@ def fit(docs: DataFrame, trains: Column, text_col: str = "text", lang_col: str =
     texts. The driver receives centroids and document frequencies, both of fixed size.
     """
     bits, width = FEATURE_BITS, 1 << FEATURE_BITS
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang", F.lit(7)), "id")
-    chosen = staged(
-        docs.filter(trains & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-        .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= texts)
-        .select("id", "lang").distinct(), "chosen")
+    labelled = docs.filter(trains & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    chosen = staged(training_ids(labelled, texts), "chosen")
     # A few hundred ids per language, so few that they go to every task; with very many languages, not.
     if chosen.count() <= BROADCAST_IDS:
         chosen = F.broadcast(chosen)
