@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import slice_count, staged, words_in
+from basketry.llm.shared import dealt_by_hash, slice_count, staged, words_in
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -186,7 +186,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     the word ranges [first, last) in ``ranges``. NULL is a source of its own, after all others. A
     NULL or empty text has size 0 and is not taken. Rows that repeat an id are rows of their own
     and may be taken differently. An empty table gives an empty result. The same table gives
-    the same mix, however it is partitioned.
+    the same mix, however it is partitioned, unless more rows than a shard holds agree in id and text.
     """
     rows = staged(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
@@ -199,11 +199,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
         lambda sources: quotas(sources, block, most), "place int, base long, extra long")
     shares = staged(shares.join(given, "place"), "quotas")
     shards = slice_count(rows.count(), rows_per_shard)
+    rows = dealt_by_hash(rows, "shard", shards, rows_per_shard)
     dealt = (
         rows.join(shares, rows["source"].eqNullSafe(shares["source"]))
         # As text: a NULL among numbers would make pandas round them.
         .select("row", F.col("doc_id").cast("string").alias("doc_id"), "size", "spread", "place",
-                "source_size", "target", "base", "extra", F.pmod("spread", F.lit(shards)).alias("shard"))
+                "source_size", "target", "base", "extra", "shard")
     )
     starts = staged(shard_quotas(dealt, block), "shard-quotas")
     return dealt.groupBy("shard").cogroup(starts.groupBy("shard")).applyInPandas(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import slice_count, staged
+from basketry.llm.shared import dealt_by_hash, slice_count, staged
 from basketry.llm.token_files import END_ID, serialised, vocabulary_width
 from basketry.llm.tokens import encoder
 from basketry.llm.words import slices
@@ -123,12 +123,13 @@ def packed(docs: DataFrame, path: str, spaced: bool = False, id_col: str = "doc_
     ``shares`` (source, share) gives target proportions; without it they are the sources' parts of all
     ids. Every id lies in one piece; pieces of a sequence follow each other from offset 0.
     A sequence holds ``window`` ids, or a power of two. A NULL or empty text is the end id alone; NULL
-    is a source of its own. Rows that repeat an id are packed each on its own. An empty table
-    gives an empty result.
+    is a source of its own. Rows that repeat an id are packed each on its own, in several slices if they
+    also agree in text and fill more than one. An empty table gives an empty result.
     """
-    rows = staged(encoded(docs, path, spaced, id_col, text_col, source_col), "encoded")
+    rows = staged(encoded(docs, path, spaced, id_col, text_col, source_col)
+                  .withColumn("row", F.monotonically_increasing_id()), "encoded")
     count = slice_count(rows.count(), rows_per_slice)
-    rows = rows.withColumn("slice", F.pmod("spread", F.lit(count)))
+    rows = dealt_by_hash(rows, "slice", count, rows_per_slice)
     cells = staged(rows.groupBy("slice", "source").agg(F.sum("tokens").alias("tokens")), "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

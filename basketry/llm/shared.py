@@ -23,12 +23,27 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def slice_count(rows: int, per_slice: int, most: int = 1_000_000) -> int:
-    """Number of random slices of about ``per_slice`` rows.
+def slice_count(rows: int, per_slice: int) -> int:
+    """Number of random slices of about ``per_slice`` rows, without a limit.
 
-    Beyond ``most`` slices they get larger instead, so that one row per slice fits in a task.
+    Sums over slices pass one task, a few numbers per slice: ten million for twenty billion documents.
     """
-    return max(1, min(most, -(-rows // per_slice)))
+    return max(1, -(-rows // per_slice))
+
+
+def dealt_by_hash(rows: DataFrame, name: str, slices: int, per_slice: int) -> DataFrame:
+    """Adds ``name``: the slice of each row by its hash ``spread``, or, where more rows than a slice should hold
+    share one, by its number ``row``. ``rows`` is a staged table.
+
+    Such hashes are at most one in ``per_slice`` of the rows; they are broadcast up to a million.
+    """
+    hot = staged(rows.groupBy("spread").count().filter(F.col("count") > per_slice)
+                 .select("spread", F.lit(True).alias("__hot")), "hot")
+    found, by = hot.count(), F.col("spread")
+    if found:
+        rows = rows.join(F.broadcast(hot) if found <= 1_000_000 else hot, "spread", "left")
+        by = F.when(F.col("__hot"), F.xxhash64("row")).otherwise(by)
+    return rows.withColumn(name, F.pmod(by, F.lit(slices))).drop("__hot")
 
 
 def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
@@ -81,5 +96,5 @@ def staying(rows: DataFrame, decisions: DataFrame, id_key: Column, text_key: Col
     return marked.filter("__stay is null").select(rows.columns).unionByName(repeated.select(rows.columns))
 
 
-__all__ = ["FILTER_BITS", "SPACES", "maybe_in", "scratch_folder", "slice_count", "split_join", "staged",
+__all__ = ["FILTER_BITS", "SPACES", "dealt_by_hash", "maybe_in", "scratch_folder", "slice_count", "split_join", "staged",
            "staying", "table", "words_in"]
