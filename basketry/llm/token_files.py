@@ -179,9 +179,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str, spaced: bool, wid
         kinds = [("part", pa.int64()), ("place", pa.int64()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]
         yield pa.RecordBatch.from_pylist(done, pa.schema(kinds))
 
-    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
+    # The number of a row splits rows that agree in id and text among tasks.
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.col("row")]
     written = staged(
-        docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+        docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).repartitionByRange(*order).sortWithinPartitions(*order)
         .mapInArrow(write, MANIFEST), "token-files")
     # One row per file: few enough for one task.
     before = Window.orderBy("part", "place").rowsBetween(Window.unboundedPreceding, -1)
