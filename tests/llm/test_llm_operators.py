@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -19,6 +20,7 @@ from tables import CLASHING, WORDS, document_rows, documents, no_documents, pros
 from tokenizers import Tokenizer
 
 from basketry.llm import files, language_id, mixing, packing, token_files, topk, url_rules, warc
+from basketry.llm.oracle import oracle_sql
 from basketry.llm.shared import table
 from basketry.llm.tokens import Encoder
 
@@ -85,6 +87,62 @@ def test_language_training_is_bounded(spark):
     assert max(Counter(model.labels).values()) <= 3 and set(model.labels) == {"en", "de", "fr", "es"}
 
 
+def plain_grams(text, bits):
+    """Hashes of the 2- and 3-grams, and the number of letters, in whole numbers of 32 bits."""
+    whole, kept = f" {text.lower()} ", []
+    for i, c in enumerate(whole):
+        if c.isalpha():
+            kept.append(ord(c))
+        elif i == 0 or whole[i - 1].isalpha():
+            kept.append(32)
+    cut, out = 2**32 - 1, []
+    for n in (2, 3):
+        for i in range(len(kept) - n + 1):
+            h = (kept[i] * 0x9E3779B1 + kept[i + 1] * 0x85EBCA77) & cut
+            if n == 3:
+                h = (h * 0xC2B2AE3D + kept[i + 2] * 0x27D4EB2F) & cut
+            out.append((((h ^ (h >> 15)) * 0x2C1B3C6D) & cut) >> (32 - bits))
+    return out, sum(map(str.isalpha, whole))
+
+
+def test_language_is_that_of_the_nearest_centroid(spark):
+    """Plain nearest centroid: TF-IDF by dictionaries, cosines one by one."""
+    rows = document_rows() + [(1000 + i, t, "en", "a", 0) for i, t in enumerate(ODD)]
+    docs = documents(spark, rows)
+    model = language_id.fit(docs, ~language_id.held_out(), texts=20, k=3)
+    found = language_id.identified(docs.select("doc_id", "text"), model, ["doc_id", "text"]).collect()
+    bits = language_id.FEATURE_BITS
+    centroids = [{f: float(x) for f, x in enumerate(column) if x} for column in model.centroids.T]
+    assert len(found) == len(rows) and len(centroids) > 2
+    for r in found:
+        grams, letters = plain_grams(r.text or "", bits)
+        if not letters:
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        weights = {g: (1 + np.log(n)) * model.idf[g] for g, n in Counter(grams).items()}
+        length = sum(w * w for w in weights.values()) ** 0.5
+        cosines = [sum(w * c.get(g, 0.0) for g, w in weights.items()) / length for c in centroids]
+        best = max(cosines)
+        near = {model.labels[i] for i, c in enumerate(cosines) if c > best - 1e-9}
+        assert r.lang_pred in near and r.score == pytest.approx(min(1.0, max(0.0, best)), abs=1e-9)
+        bounds = [model.far[i] * min(1.0, (letters / language_id.FULL_LETTERS) ** 0.5) for i, c in enumerate(cosines) if c > best - 1e-9]
+        assert r.rejected in {best < b for b in bounds}
+
+
+def test_language_trains_on_the_smallest_hashes(spark):
+    labelled = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"),
+                                        F.when(F.col("id") % 4 == 1, "de").otherwise("en").alias("lang"))
+    labelled = labelled.unionByName(spark.createDataFrame([(7, "es")] * 500 + [(1, "fr"), (2, "fr")], "id long, lang string"))
+    found = defaultdict(list)
+    for r in language_id.training_ids(labelled, 50).collect():
+        found[r.lang].append(r.id)
+    hashed = defaultdict(set)
+    for r in labelled.select("id", "lang", F.xxhash64("id", "lang", F.lit(7)).alias("hash")).collect():
+        hashed[r.lang].add((r.hash, r.id))
+    assert {lang: sorted(ids) for lang, ids in found.items()} == {
+        lang: sorted(i for _, i in sorted(all_)[:50]) for lang, all_ in hashed.items()}
+
+
 def test_language_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
     rows = [(i % 3, prose(i, 30), "en", "a", 0) for i in range(90)]
     made, staged = {}, language_id.staged
@@ -147,6 +205,17 @@ def test_archive_files(spark, folder):
             assert warc.digest_of(bytes(r.payload)) == r.payload_digest and len(r.payload) == r.payload_bytes
 
 
+@pytest.mark.parametrize("least", [0, 1])
+def test_archives_of_identical_rows(spark, least):
+    rows = [(None, None, None)] * 40 + [(8, "http://x", "body")] * 40 + [(i, "http://y", "body" if i % 2 else f"own {i}") for i in range(40)]
+    made = pages(spark, rows).repartition(7)
+    assert Counter(map(tuple, warc.archived_pages(made, least=least).collect())) == archived(rows, least)
+    resolved = warc.resolved(made, least=least).collect()
+    numbers = [(r.page_id, r.sha1, r["copy"]) for r in resolved]
+    assert len(set(numbers)) == len(numbers) == len(rows)
+    assert all((r.payload is None) == (r.record_type == "revisit") for r in resolved)
+
+
 def test_damaged_archive_is_noticed():
     good = warc.record("response", "0" * 8, 1, "u", "d", warc.digest_of(b"abc"), 3, b"abc", None)
     assert warc.parsed(gzip.decompress(good))["payload"] == b"abc"
@@ -430,6 +499,18 @@ def test_mix_has_the_words_taken(spark):
     assert got == want
 
 
+def test_mixing_splits_identical_rows(spark, monkeypatch):
+    rows = [(None, "one two three four five", None, "a", 0)] * 60 + [(i, prose(i, 20), None, "ab"[i % 2], 0) for i in range(120)]
+    seen, first = {}, mixing.shard_quotas
+    monkeypatch.setattr(mixing, "shard_quotas", lambda dealt, block: first(seen.setdefault("dealt", dealt), block))
+    found = mixing.mixed(documents(spark, rows), rows_per_shard=20).collect()
+    per_shard = [r["count"] for r in seen["dealt"].groupBy("shard").count().collect()]
+    assert len(found) == 180 and max(per_shard) < 45 and len(per_shard) > 6
+    for target, taken in {(r.target, sum(s.taken for s in found if s.target == r.target)) for r in found}:
+        assert abs(taken - target) <= 2 * mixing.BLOCK_WORDS
+    assert all(r.taken <= 3 * r.size for r in found)
+
+
 def test_mixing_empty(spark):
     assert mixing.mixed(no_documents(spark)).count() == mixing.mix(no_documents(spark)).count() == 0
     blank = documents(spark, [(1, None, None, None, None), (2, "", "en", "a", 0)])
@@ -530,6 +611,93 @@ def test_packing(spark, window, rows_per_slice):
         assert at == total if total is not None else at == window or (at < window and at & (at - 1) == 0)
 
 
+def replayed(rows, window):
+    """Deficit round-robin over the queues of one slice, id by id, in fractions: {(doc, at): (sequence, offset)}.
+
+    ``rows``: (doc_id, source, ids) in the order of their queues.
+    """
+    queues = defaultdict(list)
+    for doc, source, ids in rows:
+        queues[source] += [(doc, at) for at in range(ids)]
+    names = sorted(queues, key=lambda s: (s is None, s or ""))
+    total = sum(map(len, queues.values()))
+    share = {s: Fraction(len(queues[s]), total) for s in names}
+    deficit, placed, sequence, rest = dict.fromkeys(names, Fraction(0)), {}, 0, total
+    while rest:
+        length = window
+        while length > rest:
+            length = length // 2 if length < window else 1 << (rest.bit_length() - 1)
+        take = dict.fromkeys(names, 0)
+        for s in names:
+            deficit[s] += share[s] * length
+        for s in sorted(names, key=lambda s: -deficit[s]):
+            take[s] = max(0, min(len(queues[s]), int(deficit[s]), length - sum(take.values())))
+        while (room := length - sum(take.values())):
+            able = sorted((s for s in names if len(queues[s]) > take[s]), key=lambda s: take[s] - deficit[s])
+            if room < len(able):
+                for s in able[:room]:
+                    take[s] += 1
+                continue
+            whole = sum(share[s] for s in able)
+            for s in able:
+                take[s] += min(max(1, int(room * share[s] / whole)), len(queues[s]) - take[s], length - sum(take.values()))
+        offset = 0
+        for s in names:
+            for key in queues[s][:take[s]]:
+                placed[key] = (sequence, offset)
+                offset += 1
+            deficit[s] -= take[s]
+            del queues[s][:take[s]]
+        sequence, rest = sequence + 1, rest - length
+    return placed
+
+
+@pytest.mark.parametrize("window", [64, 256])
+def test_packing_replays_the_round_robin(spark, window):
+    """Sources hold powers of two of the ids, so that shares are exact in both."""
+    sizes = {"a": (512, [200, 56, 256]), "b": (256, [100, 156]), None: (256, [1, 15, 240])}
+    frame, doc = [], 0
+    for source, (held, parts) in sizes.items():
+        assert held == sum(parts)
+        for n in parts:
+            frame.append((doc, source, n))
+            doc += 1
+    width = 2
+    ids = {d: np.arange(n, dtype="<u2") for d, _, n in frame}
+    docs = pa.table({"doc_id": pa.array([d for d, *_ in frame], pa.int64()), "source": pa.array([s for _, s, _ in frame]),
+                     "spread": pa.array([7 * d for d, *_ in frame], pa.int64()), "tokens": pa.array([n for *_, n in frame], pa.int64()),
+                     "ids": pa.array([ids[d].tobytes() for d, *_ in frame], pa.binary()),
+                     "slice": pa.array([0] * len(frame), pa.int64())})
+    cells = pa.Table.from_pylist([{"source": s, "share": held / 1024, "deficit": 0.0} for s, (held, _) in sizes.items()])
+    found = {}
+    for r in packing.packed_slice(docs, cells, window, width).to_pylist():
+        part = ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(part.astype("<u4"))
+        for i in range(r["length"]):
+            found[(r["doc_id"], r["start"] + i)] = (r["sequence_id"], r["offset"] + i)
+    assert found == replayed(frame, window)
+
+
+def test_identical_rows_are_packed_and_written_once_each(spark):
+    rows = [(None, None, None, "a", 0)] * 50 + [(5, "one two", None, "b", 0)] * 50 + [(i, prose(i, 20), None, "a", 0) for i in range(50)]
+    docs, want = documents(spark, rows).repartition(5), ids_of(WORD_BPE, rows)
+    found = packing.packed(docs, WORD_BPE, window=64, rows_per_slice=10).collect()
+    per_doc = Counter()
+    for r in found:
+        per_doc[r.doc_id] += r.length
+    totals = Counter()
+    for doc, a in want:
+        totals[doc] += len(a)
+    assert per_doc == totals
+    slices_of_copies = {r.sequence_id >> 32 for r in found if r.doc_id == 5}
+    assert len(slices_of_copies) > 3  # 50 copies fill several slices of ten
+    written = token_files.token_digests(docs, BYTE_BPE).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in written) == Counter(
+        (i, len(a), zlib.crc32(a)) for i, a in ids_of(BYTE_BPE, rows))
+    starts = sorted((r.start, r.n_tokens) for r in written)
+    assert [s for s, _ in starts] == [0, *itertools.accumulate(n for _, n in starts)][:-1]
+
+
 def test_windows_keep_their_proportions():
     left = [6000, 3000, 1000]
     total, start = sum(left), [-37.0, 25.0, 12.0]
@@ -567,12 +735,12 @@ def test_top_k(spark):
              (300, [1e12] * 6, 0), (None, [1.0], 0), (320, [0.01], 0)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(
         {c: F.lit(0) for c in ("weights", "asks", "block", "part", "score", *CLASHING[:2])})
-    held = {i: [int(np.floor(64 * x)) for x in v] for i, v, _ in rows if i is not None and v is not None and all(
-        x is not None and np.isfinite(x) for x in v)}
+    held = [(i, [int(np.floor(64 * x)) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(
+        x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in held:
+    for q in {i for i, _ in held}:
         if q % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(held[q], v)), i) for i, v in held.items() if i != q)
+            scores = sorted((-sum(a * b for a, b in zip(asked, v)), i) for own, asked in held if own == q for i, v in held if i != q)
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:7])]
     for blocks in ({}, {"queries_per_block": 3, "candidates_per_block": 10}):
         found = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=7, **blocks).collect()
@@ -583,14 +751,16 @@ def test_top_k(spark):
 def test_top_k_of_repeated_ids(spark, blocks):
     rows = [(20, [1.0, 0.0])] + [(1, [float(x), 0.0]) for x in range(5)] + [(2, [2.5, 0.0]), (2, [2.5, 0.0]), (3, [-1.0, 0.0])]
     rows += [(40, [float(x), 1.0]) for x in range(6)]  # queries too, none of them its own candidate
-    held = sorted({(i, tuple(v)) for i, v in rows})
-    want = []
-    for q in (20, 40):
-        scores = sorted((-int(sum(64 * 64 * a * b for a, b in zip(asked, v))), i) for own, asked in held if own == q for i, v in held if i != q)
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:4])]
+    rows += [(4, [3.0, 0.5])] * 12  # a third of all rows, the same
+    rows += [(60, [1.0, 0.5])] * 2  # a query that is there twice
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=4, **blocks).collect()
-    assert sorted(map(tuple, found)) == sorted(want)
+    found = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=20, **blocks).collect()
+    db = duckdb.connect()
+    db.register("embeddings", pa.table({"vec_id": pa.array([r[0] for r in rows], pa.int64()),
+                                        "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32()))}))
+    sql = db.sql(oracle_sql()["op8_exact_top_k"])
+    at = [sql.columns.index(c) for c in ("query_id", "rank", "vec_id", "score")]
+    assert sorted(map(tuple, found)) == sorted(tuple(row[i] for i in at) for row in sql.fetchall())
 
 
 def test_top_k_few_rows(spark):
