@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketry import contracts as C
 from basketry.functions import dates, measures as M, text
 from basketry.operators import calendar, quality as Q, scd2, star
+from basketry.operators.distinct import distinct_counts
 from basketry.plans import bronze, gold, kpi, rules as R, silver
 from basketry.session import scratch_folder, staged
 from basketry.sources import sales_csv, tables
@@ -777,11 +778,8 @@ def agg_avg(spark, sf_dir):
 
 @registered
 def agg_count_distinct_multi(spark, sf_dir):
-    return _orders_ok(spark, sf_dir).groupBy("segment").agg(
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("product_id").alias("unique_products"),
-    )
+    return distinct_counts(_orders_ok(spark, sf_dir), ["segment"], {
+        "unique_customers": "customer_id", "total_orders": "order_id", "unique_products": "product_id"})
 
 
 @registered

@@ -6,6 +6,7 @@ import pytest
 from conftest import SF_SMALL
 
 from basketry.operators import hotkeys, ranking, scd2
+from basketry.operators.distinct import distinct_counts
 from basketry.plans import bronze, gold, kpi, silver
 from basketry.session import staged
 from basketry.sources.testtables import FIRST_BY, TIEBREAK_EXTRA, raw_with_audit, table
@@ -136,3 +137,14 @@ def test_a_hot_customer_is_split_by_the_star_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    draw = [(i % 3 or None, f"c{i % 7}", None if i % 5 == 0 else i % 11, 1) for i in range(200)] + [(9, None, None, 1)]
+    rows = spark.createDataFrame(draw, "k int, a string, b int, __mark int")
+    found = distinct_counts(rows, ["k"], {"as": "a", "bs": "b", "ks": "k"})
+    assert not re.search("Expand", plan_of(found))
+    want = {k: (len({r[1] for r in draw if r[0] == k} - {None}), len({r[2] for r in draw if r[0] == k} - {None}), int(k is not None))
+            for k in {r[0] for r in draw}}
+    assert {r.k: (r["as"], r.bs, r.ks) for r in found.collect()} == want
+    assert distinct_counts(rows.limit(0), ["k"], {"as": "a"}).count() == 0
