@@ -12,40 +12,29 @@ from __future__ import annotations
 import csv
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry import contracts as C
 
 _BROKEN_LINE = "_broken_line"
-_FIRST_LINE = "line string, file string, start long"
+# ``monotonically_increasing_id`` numbers the rows of a task in so many low bits.
+_ROW_BITS = 33
 
 
 def _one_file_per_task(spark: SparkSession) -> SparkSession:
-    """A session with the settings of ``spark``, in which a scan packs no files together and rows reach
-    Python one by one, so that a task which has seen one line need not read on."""
+    """A session with the settings of ``spark``, in which a scan packs no files together."""
     session = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             session.conf.set(key, value)
     session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
     return session
 
 
-def _first(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line of a split, if it is that of the file."""
-    for batch in rows:
-        if batch.num_rows:
-            if batch.column("start")[0].as_py() == 0:
-                yield batch.slice(0, 1)
-            return
-
-
 def _place(path: str) -> str:
     """A path without its scheme and authority, which its readers spell in different ways."""
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
@@ -54,14 +43,16 @@ def _place(path: str) -> str:
 def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """The first line of each file that has one, blank lines aside, compressed files included.
 
-    One job over all paths. Each task opens a file and returns its first line, without reading on. Lines
-    are read as UTF-8.
+    One job over all paths, without Python: each task scans a split and keeps the first line of one that
+    begins its file. A Python function that stops early would not end the scan: what it leaves is still
+    converted and sent, at many times the cost of reading it. Lines are read as UTF-8.
     """
     lines = (
-        _one_file_per_task(spark).read.text(list(paths)).filter(F.trim("value") != "")
+        _one_file_per_task(spark).read.text(list(paths))
+        .filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("start"))
-        .mapInArrow(_first, _FIRST_LINE)
+                F.monotonically_increasing_id().alias("row"))
+        .filter(F.col("row").bitwiseAND((1 << _ROW_BITS) - 1) == 0)
     )
     given = {_place(path): path for path in paths}
     found = {}
@@ -100,9 +91,10 @@ def by_header(
 
 
 def _rescue(misfits: dict[str, Column]) -> Column:
-    entries = [part for name, value in misfits.items() for part in (F.lit(name), value)]
-    kept = F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
-    return F.when(F.size(kept) > 0, F.to_json(kept))
+    """The misfits that are not NULL as JSON, made only for rows that have one."""
+    entries = F.struct(*[value.alias(name) for name, value in misfits.items()])
+    kept = F.to_json(entries, {"ignoreNullFields": "true"})
+    return F.when(F.coalesce(*misfits.values()).isNotNull(), kept)
 
 
 def _bound(

@@ -13,6 +13,9 @@ from basketry.plans import bronze, rules as R
 from basketry.sources import sales_csv, tables
 from basketry.streaming.runs import drain
 
+# The rows of a batch until both sides are written.
+_COPY = "_batch"
+
 
 def write_split(
     tagged: DataFrame,
@@ -23,16 +26,20 @@ def write_split(
     partition_by: Sequence[str] = (),
     report_path: str | None = None,
 ) -> None:
-    """Write both sides of a quality split, and a report of its rules, from one evaluation of the batch."""
-    tagged = tagged.persist()
-    try:
-        tables.write_batch(Q.accepted(tagged), good_path, batch_id, partition_by)
-        # Few rows per task are left here, hence the rebalancing.
-        tables.write_batch(tables.balanced(quarantine(tagged)), bad_path, batch_id)
-        if report_path:
-            tables.write_batch(Q.report(tagged, R.BRONZE_RULES, C.BRONZE_SALES), report_path, batch_id)
-    finally:
-        tagged.unpersist()
+    """Write both sides of a quality split, and a report of its rules, from one evaluation of the batch.
+
+    The batch is stored beside its rejected rows, under a name that readers skip, and read back for each
+    side. Unlike a cached frame it takes no memory of the executors, outlives them, and is read by tasks
+    sized by its compressed columns, so that the sides have files of a good size without a shuffle.
+    """
+    spark, copy = tagged.sparkSession, f"{bad_path}/{_COPY}"
+    tagged.write.mode("overwrite").parquet(copy)
+    stored = spark.read.schema(tagged.schema).parquet(copy)
+    tables.write_batch(Q.accepted(stored), good_path, batch_id, partition_by)
+    tables.write_batch(quarantine(stored), bad_path, batch_id)
+    if report_path:
+        tables.write_batch(Q.report(stored, R.BRONZE_RULES, C.BRONZE_SALES), report_path, batch_id)
+    spark.createDataFrame([], tagged.schema).coalesce(1).write.mode("overwrite").parquet(copy)
 
 
 def load(

@@ -194,6 +194,36 @@ def test_only_the_first_line_of_a_large_file_is_read(spark, folder):
     assert sales_csv.first_lines(session, [path]) == {path: ",".join(HEADERS)}
 
 
+def test_headers_and_rescue_take_neither_python_nor_lambdas(spark, folder, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a Python function receives every line of the files, however early it stops")
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", refused)
+    path = write(folder, "a.csv", [{**SAMPLE, "Quantity": "two", "Profit": ""}, SAMPLE])
+    assert sales_csv.first_lines(spark, [path]) == {path: ",".join(HEADERS)}
+    frame = sales_csv.read_files(spark, [path])
+    assert "lambda" not in frame._jdf.queryExecution().toString()
+    assert sorted(str(r[C.RESCUED]) for r in frame.collect()) == ["None", '{"Quantity":"two"}']
+
+
+def test_a_split_batch_is_stored_not_cached(spark, folder, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a batch must not be held by the executors")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", refused)
+    landing, root = f"{folder}/landing", f"{folder}/tables"
+    write(landing, "a.csv", [SAMPLE, {**SAMPLE, "Order ID": ""}, {**SAMPLE, "Quantity": "11"}])
+    for _ in range(2):
+        ingest.ingest(spark, landing, root, f"{folder}/check")
+    good = tables.batches(spark, f"{root}/{C.BRONZE_SALES}", ingest.bronze_schema())
+    bad = tables.batches(spark, f"{root}/{C.BRONZE_QUARANTINE}", ingest.quarantine_schema())
+    assert [r.order_id for r in good.collect()] == ["O-1"]
+    assert sorted((r.order_id or "", r._failure_reason) for r in bad.collect()) == [
+        ("", "order_id IS NULL"), ("O-1", "quantity out of range [1, 10]")]
+    assert good.select(C.INGESTED_AT).union(bad.select(C.INGESTED_AT)).distinct().count() == 1
+    assert spark.read.parquet(f"{root}/{C.BRONZE_QUARANTINE}/_batch").count() == 0
+
+
 @pytest.mark.parametrize("line, options", [
     ("a,b,c", {}), ('"a,b",c', {}), ("a;b", {"sep": ";"}), ("a,,A,b", {}), ("x\ty", {"delimiter": "\t"}),
     ("'a,b',c", {"quote": "'"}), (" a, b ", {}), ("a,a,a", {}), ("one", {})])
