@@ -25,6 +25,11 @@ CUT = re.compile(r" (?=\S)")
 LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]++(?=[\x00-\x7f]|\Z)")
 
 
+def strings(values: pa.Array) -> list[str]:
+    """The values of a text array without NULLs; ``to_pylist`` would make a scalar of each first."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def byte_letters() -> dict[int, str]:
     """The printable characters that byte-level vocabularies write for bytes: themselves where they
     are printable, and the code points from 256 on for the others, in order."""
@@ -116,16 +121,16 @@ class Encoder:
         coded = values.dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False)
         if not self.spaced:
-            ids, length = self._gathered(self._places(coded.dictionary.to_pylist())[index])
+            ids, length = self._gathered(self._places(strings(coded.dictionary))[index])
             return self._by_text(ids, length, ends)
         # What follows a space must begin with something else, or the cut is not one.
         words = coded.dictionary
         plain = pc.invert(pc.or_(pc.equal(words, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(words, 0, 1))))
-        pieces = pc.if_else(plain, pc.binary_join_element_wise(pa.scalar(" "), words, pa.scalar("")), "").to_pylist()
+        pieces = pc.if_else(plain, pc.binary_join_element_wise(pa.scalar(" "), words, pa.scalar("")), "")
         bad = ~plain.to_numpy(zero_copy_only=False)[index]
         heads = ends - sizes
         bad[heads] = False
-        places = self._places(pieces + values.take(pa.array(heads)).to_pylist())
+        places = self._places(strings(pieces) + strings(values.take(pa.array(heads))))
         each = places[:len(words)][index]
         each[heads] = places[len(words):]
         found = self._by_text(*self._gathered(each), ends)

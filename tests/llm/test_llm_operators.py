@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from basketry.llm import files, language_id, mixing, packing, token_files, topk, url_rules, warc
 from basketry.llm.oracle import oracle_sql
 from basketry.llm.shared import table
-from basketry.llm.tokens import Encoder
+from basketry.llm.tokens import Encoder, strings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_BPE, BYTE_BPE = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -767,3 +767,9 @@ def test_top_k_few_rows(spark):
     schema = "vec_id long, embedding array<float>"
     for rows, n in (([], 0), ([(20, [1.0])], 0), ([(20, [1.0]), (40, [2.0]), (1, [0.5])], 4)):
         assert topk.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0).count() == n
+
+
+def test_words_leave_arrow_as_plain_strings():
+    words = pa.array(["", " a", "\x00", "ß\u0301", "日本", "𝒳"]).dictionary_encode().dictionary
+    assert strings(words) == words.to_pylist() and {type(w) for w in strings(words)} == {str}
+    assert strings(words[2:4]) == ["\x00", "ß\u0301"] and strings(words[:0]) == []
