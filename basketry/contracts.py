@@ -131,6 +131,10 @@ DIM_PRODUCT_COLUMNS = [
     "product_id", "product_name", "sub_category", "category_of_goods", SOURCE_FILE,
 ]
 
+# Ours: columns of the feed whose values hardly repeat, or are long; stored without a dictionary.
+VARIED_COLUMNS = ["order_id", "customer_id", "product_id", "first_name", "product_name", "sales", "profit",
+                  "postal_code", SOURCE_FILE]
+
 RENAMES = {header: name for header, _, name in RAW_FIELDS}
 FEED_COLUMNS = [name for _, _, name in RAW_FIELDS]
 

@@ -115,8 +115,14 @@ def create(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(f"{path}/_created")
 
 
+def plain(columns: Sequence[str]) -> dict[str, str]:
+    """Options of a Parquet write that makes no dictionaries of these columns. Where values hardly repeat, or
+    are long, to look each up in its dictionary takes longer than to write and read it as it is."""
+    return {f"parquet.enable.dictionary#{name}": "false" for name in columns}
+
+
 def write_batch(
-    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()
+    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), **options: str
 ) -> None:
     """Write the folder of one batch, replacing what an earlier attempt left.
 
@@ -124,7 +130,7 @@ def write_batch(
     the scan write files of a good size without a shuffle. Others are ``balanced`` first.
     """
     target = f"{path}/{BATCH}={batch_id}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    df.write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(target)
 
 
 def replace_folders(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry import contracts as C
@@ -15,10 +15,12 @@ from basketry.streaming.runs import drain
 
 # The rows of a batch until both sides are written.
 _COPY = "_batch"
+# Whether a row of that copy keeps all rules.
+_KEPT = "_kept"
 
 
 def write_split(
-    tagged: DataFrame,
+    rows: DataFrame,
     batch_id: int,
     good_path: str,
     bad_path: str,
@@ -31,15 +33,18 @@ def write_split(
     The batch is stored beside its rejected rows, under a name that readers skip, and read back for each
     side. Unlike a cached frame it takes no memory of the executors, outlives them, and is read by tasks
     sized by its compressed columns, so that the sides have files of a good size without a shuffle.
+    It says of each row whether it is kept; which rules a row breaks is told for the rejected ones only.
     """
-    spark, copy = tagged.sparkSession, f"{bad_path}/{_COPY}"
-    tagged.write.mode("overwrite").parquet(copy)
-    stored = spark.read.schema(tagged.schema).parquet(copy)
-    tables.write_batch(Q.accepted(stored), good_path, batch_id, partition_by)
-    tables.write_batch(quarantine(stored), bad_path, batch_id)
+    spark, copy, varied = rows.sparkSession, f"{bad_path}/{_COPY}", tables.plain(C.VARIED_COLUMNS)
+    judged = rows.withColumn(_KEPT, Q.all_hold(Q.having(R.BRONZE_RULES, Q.DROP)))
+    judged.write.mode("overwrite").options(**varied).parquet(copy)
+    stored = spark.read.schema(judged.schema).parquet(copy)
+    good, bad = (stored.filter(side).drop(_KEPT) for side in (F.col(_KEPT), ~F.col(_KEPT)))
+    tables.write_batch(good, good_path, batch_id, partition_by, **varied)
+    tables.write_batch(quarantine(bronze.tagged(bad)), bad_path, batch_id, **varied)
     if report_path:
         tables.write_batch(Q.report(stored, R.BRONZE_RULES, C.BRONZE_SALES), report_path, batch_id)
-    spark.createDataFrame([], tagged.schema).coalesce(1).write.mode("overwrite").parquet(copy)
+    spark.createDataFrame([], judged.schema).coalesce(1).write.mode("overwrite").parquet(copy)
 
 
 def load(
@@ -58,7 +63,7 @@ def load(
     def each_batch(found: DataFrame, batch_id: int) -> None:
         paths = [row.path for row in found.collect()]
         rows = sales_csv.read_files(found.sparkSession, paths, **csv_options)
-        tables.write_batch(rows, path, batch_id)
+        tables.write_batch(rows, path, batch_id, **tables.plain(C.VARIED_COLUMNS))
 
     return drain(sales_csv.discovered(spark, landing, max_files), checkpoint, each_batch)
 
@@ -82,7 +87,7 @@ def ingest(
         paths = [row.path for row in found.collect()]
         rows = sales_csv.read_files(session, paths, **csv_options)
         write_split(
-            bronze.tagged(bronze.with_audit(rows, ingested_at)),
+            bronze.with_audit(rows, ingested_at),
             batch_id,
             f"{root}/{C.BRONZE_SALES}",
             f"{root}/{C.BRONZE_QUARANTINE}",

@@ -1,14 +1,17 @@
 """The CSV feed: binding by name, rescue, lineage, strict dates."""
 
+import glob
 import gzip
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from basketry import contracts as C
 from basketry.functions import dates, measures as M, text
+from basketry.operators import quality as Q
 from basketry.plans import bronze, silver
 from basketry.sources import sales_csv, tables
 from basketry.streaming import ingest
@@ -232,3 +235,28 @@ def test_header_lines_are_read_as_spark_does(spark, folder, line, options):
     with open(f"{folder}/h.csv", "w") as out:
         out.write(f"{line}\n")
     assert list(sales_csv.header_of(line, **options)) == spark.read.options(header=True, **options).csv(f"{folder}/h.csv").columns
+
+
+def test_varied_columns_are_stored_without_a_dictionary(spark, folder):
+    landing, root = f"{folder}/landing", f"{folder}/tables"
+    write(landing, "a.csv", [SAMPLE, {**SAMPLE, "Order ID": ""}] * 50)
+    ingest.ingest(spark, landing, root, f"{folder}/check")
+    ingest.load(spark, landing, f"{root}/loaded", f"{folder}/check-load")
+    for table in (C.BRONZE_SALES, C.BRONZE_QUARANTINE, "loaded"):
+        files = glob.glob(f"{root}/{table}/batch=0/**/*.parquet", recursive=True)
+        group = next(g for g in (pq.ParquetFile(f).metadata.row_group(0) for f in files) if g.num_rows)
+        chunks = [group.column(i) for i in range(group.num_columns)]
+        coded = {c.path_in_schema for c in chunks if c.has_dictionary_page}
+        assert "product_id" not in coded and C.SOURCE_FILE not in coded and "region" in coded
+
+
+def test_rules_are_told_without_lambdas(spark):
+    rows = spark.createDataFrame(
+        [("O-1", 1.0, 5), (None, 1.0, 5), (None, None, None), ("O-2", 0.0, 11)],
+        "order_id string, sales double, quantity int")
+    tagged = bronze.tagged(rows)
+    assert "lambda" not in tagged._jdf.queryExecution().toString()
+    assert [r._violations for r in tagged.collect()] == [
+        [], ["order_id_not_null"], ["order_id_not_null", "sales_positive", "quantity_valid"],
+        ["sales_positive", "quantity_valid"]]
+    assert [r.v for r in rows.select(Q.violated([]).alias("v")).collect()] == [[]] * 4
