@@ -212,9 +212,12 @@ def src_trigger_available_now(spark, sf_dir):
 @registered
 def src_file_metadata(spark, sf_dir):
     rows = _loaded(spark, _landing(spark, sf_dir))
-    return rows.groupBy(F.regexp_extract(C.SOURCE_FILE, "/([^/]*)/[^/]*$", 1).alias("folder")).agg(
+    files = rows.groupBy(C.SOURCE_FILE).agg(  # so that folders are looked for in files, not in rows
         F.count(F.lit(1)).alias("n"), F.bool_and(F.col(C.FILE_MODIFIED).isNotNull()).alias("time_is_set")
     )
+    return files.groupBy(F.regexp_extract(C.SOURCE_FILE, "/([^/]*)/[^/]*$", 1).alias("folder")).agg(
+        F.sum("n").alias("n"), F.bool_and("time_is_set").alias("time_is_set")
+    )
 
 
 @registered
