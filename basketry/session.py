@@ -38,6 +38,15 @@ def build_session(app: str = "basketry", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def beside(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session with the settings of ``spark`` and these."""
+    session = spark.newSession()
+    for key, value in (spark.conf.getAll | settings).items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return session
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -19,6 +19,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry import contracts as C
+from basketry.session import beside
 
 _BROKEN_LINE = "_broken_line"
 # ``monotonically_increasing_id`` numbers the rows of a task in so many low bits.
@@ -27,12 +28,8 @@ _ROW_BITS = 33
 
 def _one_file_per_task(spark: SparkSession) -> SparkSession:
     """A session with the settings of ``spark``, in which a scan packs no files together."""
-    session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    return session
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return beside(spark, {"spark.sql.files.openCostInBytes": most})
 
 
 def _place(path: str) -> str:

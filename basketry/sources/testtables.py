@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry import contracts as C
+from basketry.session import beside
 
 # Columns of the test tables. Stating them saves a job per read to look them up.
 SCHEMAS = {
@@ -89,12 +90,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed, already renamed, plus the tiebreak columns."""
+def raw_sales(spark: SparkSession, sf_dir: str, slices: int = 1, number: int = 0) -> DataFrame:
+    """The feed, already renamed, plus the tiebreak columns; of several slices, the orders of one."""
     names = ("lineitem", "orders", "customer", "nation", "region", "part")
     columns, _, _ = RAW_SQL.partition("from {lineitem}")
     text = columns.replace("{text}", "string").replace("{years}", "interval '20' year")
-    return spark.sql(text + JOINED, **{n: table(spark, sf_dir, n) for n in names})
+    named = {n: table(spark, sf_dir, n) for n in names}
+    if slices > 1:
+        for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            named[name] = named[name].filter(F.pmod(F.xxhash64(key), F.lit(slices)) == number)
+    return spark.sql(text + JOINED, **named)
+
+
+def raw_slices(spark: SparkSession, sf_dir: str, slices: int = 1) -> list[DataFrame]:
+    """The feed in slices of its orders, to be written one after the other. What the joins behind a write have
+    shuffled is removed when it ends, so the disks hold that of one slice. Each slice scans the tables anew."""
+    session = beside(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+    return [raw_sales(session, sf_dir, slices, number) for number in range(slices)]
 
 
 def raw_with_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,16 @@
 """The feed derived from the test tables: order of its joins, readings of its rows."""
 
+import glob
+import gzip
+import os
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.registry import queries
-from basketry.sources import testtables
+from basketry.sources import sales_csv, testtables
 
 DAY = "timestamp_ntz'2000-01-31 00:00:00'"
 ROWS = {
@@ -61,3 +66,48 @@ def test_folders_are_looked_for_in_files_not_in_rows(spark, tables):
     assert plan.count("Aggregate") == 2
     rows = testtables.raw_sales(spark, tables)
     assert rows.filter("l_returnflag = 'R'").count() == 2
+
+
+def _shuffled(spark):
+    """Files of the disks that hold what is shuffled; Spark removes them in the background."""
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_landed_feed_is_compressed_and_leaves_no_shuffles(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 1, raising=False)
+    session = spark.newSession()
+    for key, value in (("autoBroadcastJoinThreshold", "-1"), ("shuffle.partitions", "2"), ("session.timeZone", "UTC")):
+        session.conf.set(f"spark.sql.{key}", value)
+    before = _shuffled(spark)
+    landing = queries._landing(session, tables)
+    files = [f for f in glob.glob(f"{landing}/*/part-*") if gzip.open(f).read().count(b"\n") > 1]
+    assert {os.path.splitext(f)[1] for f in files} == {".gz"} and len(files) == 6
+    for _ in range(100):
+        if not (left := _shuffled(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    rows = sales_csv.read_files(spark, files)
+    assert [r.product_name for r in rows.collect()] == ["Chair"] * 6
+
+
+def _tables_of(spark, folder, lines):
+    """So many order lines, each of an order and a supplier of its own; one row of the other tables."""
+    for name, row in ROWS.items():
+        fields = [c.split() for c in testtables.SCHEMAS[name].split(", ")]
+        frame = spark.sql(f"select * from values ({row})").toDF(*[c for c, _ in fields])
+        own = [c for c in ("l_orderkey", "o_orderkey", "l_suppkey") if c in frame.columns]
+        if own:
+            frame = frame.drop(*own).crossJoin(spark.range(lines).select(*[F.col("id").alias(c) for c in own]))
+        frame.selectExpr(*[f"cast({c} as {kind})" for c, kind in fields]).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_slices_of_the_feed_are_the_feed(spark, folder):
+    _tables_of(spark, folder, 40)
+    slices = testtables.raw_slices(spark, folder, 4)
+    found = [sorted(map(str, rows.collect())) for rows in slices]
+    assert len(slices) == 4 and all(found) and len(testtables.raw_slices(spark, folder)) == 1
+    assert sorted(sum(found, [])) == sorted(map(str, testtables.raw_sales(spark, folder).collect()))
+    plan = slices[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("pmod(xxhash64(l_orderkey") == plan.count("pmod(xxhash64(o_orderkey") == 1
