@@ -194,12 +194,12 @@ def src_explicit_schema(spark, sf_dir):
 def src_rescued_data(spark, sf_dir):
     """Quantities with a unit and a column the feed does not know end up in the rescue column."""
     folder = scratch_folder(spark, "rescue")
-    rows = raw_sales(spark, sf_dir)
     many = F.concat(F.col("quantity").cast("string"), F.lit(" pcs"))
     quantity = F.when(F.col("quantity") > 40, many).otherwise(F.col("quantity").cast("string"))
     titled = [F.col(n).alias(h) for h, _, n in C.RAW_FIELDS if n != "quantity"]
-    _write_csv(rows.select(F.col("l_returnflag").alias("Return Flag"), *titled,
-                           quantity.alias("Quantity")), folder)
+    for rows in raw_slices(spark, sf_dir, 2):
+        _write_csv(rows.select(F.col("l_returnflag").alias("Return Flag"), *titled,
+                               quantity.alias("Quantity")), folder)
     return _loaded(spark, folder).select(
         "order_id", "customer_id", "product_id", "quantity",
         F.get_json_object(C.RESCUED, "$.Quantity").alias("rescued_quantity"),

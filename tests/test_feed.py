@@ -111,3 +111,11 @@ def test_slices_of_the_feed_are_the_feed(spark, folder):
     assert sorted(sum(found, [])) == sorted(map(str, testtables.raw_sales(spark, folder).collect()))
     plan = slices[1]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("pmod(xxhash64(l_orderkey") == plan.count("pmod(xxhash64(o_orderkey") == 1
+
+
+def test_files_to_rescue_from_hold_the_whole_feed(spark, folder, monkeypatch):
+    _tables_of(spark, folder, 40)
+    monkeypatch.setattr(queries, "scratch_folder", lambda _, label: f"{folder}/{label}")
+    assert len({r.order_id for r in queries.src_rescued_data(spark, folder).collect()}) == 40
+    files = glob.glob(f"{folder}/rescue/part-*")
+    assert sum(gzip.open(f).read().count(b"\n") - 1 for f in files) == 40
