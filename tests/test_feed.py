@@ -119,3 +119,13 @@ def test_files_to_rescue_from_hold_the_whole_feed(spark, folder, monkeypatch):
     assert len({r.order_id for r in queries.src_rescued_data(spark, folder).collect()}) == 40
     files = glob.glob(f"{folder}/rescue/part-*")
     assert sum(gzip.open(f).read().count(b"\n") - 1 for f in files) == 40
+
+
+def test_the_first_lot_is_plain_and_small_the_second_is_compressed(spark, folder, monkeypatch):
+    _tables_of(spark, folder, 400)
+    monkeypatch.setattr(queries, "scratch_folder", lambda _, label: f"{folder}/{label}")
+    assert queries.src_csv_incremental(spark, folder).count() == 400
+    plain, packed = (
+        sum(opened(f, "rb").read().count(b"\n") - 1 for f in glob.glob(f"{folder}/landing/{lot}/part-*"))
+        for lot, opened in (("none", open), ("gzip", gzip.open)))
+    assert 0 < plain < packed / 4 and plain + packed == 400
