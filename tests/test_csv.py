@@ -250,6 +250,17 @@ def test_varied_columns_are_stored_without_a_dictionary(spark, folder):
         assert "product_id" not in coded and C.SOURCE_FILE not in coded and "region" in coded
 
 
+def test_rows_of_the_feed_are_stored_with_zstandard(spark, folder):
+    landing, root = f"{folder}/landing", f"{folder}/tables"
+    write(landing, "a.csv", [SAMPLE, {**SAMPLE, "Order ID": ""}] * 50)
+    ingest.ingest(spark, landing, root, f"{folder}/check")
+    ingest.load(spark, landing, f"{root}/loaded", f"{folder}/check-load")
+    for table in (C.BRONZE_SALES, C.BRONZE_QUARANTINE, "loaded"):
+        files = glob.glob(f"{root}/{table}/batch=0/**/*.parquet", recursive=True)
+        groups = [m.row_group(i) for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups)]
+        assert {g.column(0).compression for g in groups} == {"ZSTD"}
+
+
 def test_rules_are_told_without_lambdas(spark):
     rows = spark.createDataFrame(
         [("O-1", 1.0, 5), (None, 1.0, 5), (None, None, None), ("O-2", 0.0, 11)],
